@@ -4,8 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, tokens
-from .common import table
+from . import decontaminate, mixing, quality_rules, tokens, warc
+from .common import scratch_path, table
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = quality_rules.judge(docs)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.capture_digests(warc.assemble(warc.read_records(spark, path, with_payload=False)))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,12 +40,42 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
     "op7_token_counts": op7_token_counts,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3),
+x AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win FROM p),
+c AS (SELECT doc_id, win FROM x GROUP BY doc_id, win HAVING count(*) > 1),
+y AS (SELECT x.doc_id, x.i FROM x JOIN c ON x.doc_id = c.doc_id AND x.win = c.win),
+z AS (SELECT doc_id, count(DISTINCT q) AS n_rep FROM (SELECT doc_id, unnest(range(i, i + 3)) AS q FROM y) GROUP BY doc_id),
+f AS (SELECT d.doc_id, d.source, CAST(len(d.w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+        CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_rep, 0) AS BIGINT) AS n_repeat_words
+      FROM d LEFT JOIN l ON d.doc_id = l.doc_id LEFT JOIN z ON d.doc_id = z.doc_id),
+g AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 50 * n_lines AS failed FROM f),
+h AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) AS DOUBLE) AS k FROM g GROUP BY source),
+m AS (SELECT avg(k / n) AS m, var_pop(k / n) AS v FROM h),
+s AS (SELECT m, CASE WHEN v > 0 AND v < m * (1 - m) THEN m * (1 - m) / v - 1 ELSE 10.0 END AS s FROM m),
+r AS (SELECT source, (k + m * s) / (n + s) > 0.5 AS rejected FROM h, s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT failed AND NOT rejected AS kept
+FROM g JOIN r ON g.source IS NOT DISTINCT FROM r.source""",
+    "op4_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+g AS (SELECT digest, n, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY digest, n)
+SELECT page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN keeper IS NULL OR page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM p LEFT JOIN g ON p.digest = g.digest AND p.n = g.n""",
     "op5_mixing": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
