@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_rules, tokens, warc
+from . import decontaminate, language_id, line_crf, mixing, quality_rules, tokens, warc
 from .common import scratch_path, table
 
 
+def fold(doc_id: Column, n: int) -> Column:
+    """crc32 of the id as text, modulo n; null ids are in fold 0."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = quality_rules.judge(docs)
@@ -39,11 +45,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = line_crf.train(docs, labels, usable=lambda c: fold(c, 4) != 2)
+    out = line_crf.score(docs, model)
+    return out.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.where(fold(F.col("doc_id"), 5) != 0))
+    out = language_id.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_token_counts": op7_token_counts,
+    "op8_language_id": op8_language_id,
     "op10_decontamination": op10_decontamination,
 }
 
