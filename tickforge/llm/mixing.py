@@ -68,9 +68,9 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
         sums = inside.groupBy("source", F.substring("h", 1, depth).alias("bucket")).agg(F.sum("size").alias("tokens"), (F.min("h") == F.max("h")).alias("single"))
         order = W.partitionBy("source").orderBy("bucket")
         run = sums.withColumn("upto", F.sum("tokens").over(order)).select(F.col("source").alias("_s"), "bucket", "tokens", "upto", "single")
-        over = b.join(run, F.col("source").eqNullSafe(F.col("_s")) & (F.col("upto") > F.col("room")))
+        over = b.select("source", "room").join(run, F.col("source").eqNullSafe(F.col("_s")) & (F.col("upto") > F.col("room")))
         first = over.groupBy("source").agg(F.min(F.struct("bucket", "tokens", "upto", "single")).alias("x"))
-        b = b.join(first.select(F.col("source").alias("_s"), "x"), F.col("source").eqNullSafe(F.col("_s")), "left").select(
+        b = b.select("source", "passes", "room", "below").join(first.select(F.col("source").alias("_s"), "x"), F.col("source").eqNullSafe(F.col("_s")), "left").select(
             "source", "passes",
             F.when(F.col("x").isNull(), F.col("room")).otherwise(F.col("room") - (F.col("x.upto") - F.col("x.tokens"))).alias("room"),
             F.when(F.col("x").isNull(), F.rpad("below", depth, "g")).otherwise(F.col("x.bucket")).alias("below"),
