@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_crf, mixing, near_dedup, quality_rules, tokens, warc
+from . import decontaminate, language_id, line_crf, line_dedup, mixing, near_dedup, quality_rules, tokens, warc
 from .common import scratch_path, table
 
 
@@ -20,6 +20,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), n=2)
 
@@ -66,6 +70,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_line_dedup": op2_line_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
