@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_crf, line_dedup, mixing, near_dedup, quality_rules, tokens, warc
+from . import attention_lm, decontaminate, language_id, line_crf, line_dedup, mixing, near_dedup, quality_rules, tokens, warc
 from .common import scratch_path, table
 
 
@@ -47,6 +47,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = attention_lm.score(docs, fold(F.col("_id"), 5) != 1, (P.path("byte_bpe_50k.tiktoken"), P.PATTERN))
+    return out.withColumn("held_out", fold(F.col("doc_id"), 5) == 1)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.scan_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -77,6 +85,7 @@ QUERIES = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
 }
 
