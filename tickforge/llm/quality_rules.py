@@ -104,6 +104,8 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source", max_rat
     counts = first.groupBy(host).agg(F.sum("count").alias("n_docs"), F.sum(F.when(F.col("failed"), F.col("count")).otherwise(0)).alias("n_failed"))
     verdicts = _verdicts_of(counts, max_rate).select(F.col(host).alias("_host"), "host_rejected")
     row = F.struct(*[F.col(c) for c in docs.columns])
-    again = rule_counts(docs.withColumn("_row", row), text, ("_row",)).where(~rule_failed()).select("_row.*")
+    # The verdict passes through a generator: a plain filter would be pushed down and evaluate the counts many times.
+    judged = rule_counts(docs.withColumn("_row", row), text, ("_row",)).select(F.explode(F.array(F.struct("_row", rule_failed().alias("failed")))).alias("_x"))
+    again = judged.where("not _x.failed").select("_x._row.*")
     good = again.join(small_or_plain(verdicts, max_broadcast), F.col(host).eqNullSafe(F.col("_host")), "left")
     return good.where(~F.col("host_rejected")).select(*docs.columns)
