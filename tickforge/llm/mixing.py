@@ -52,7 +52,7 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
     whole passes. For the rest, sizes are summed by source and by the first STEP digits of the hash; the running sum
     finds the bucket that the budget ends in, and only that bucket's documents are summed again by the next digits,
     until one hash is left in it.
-    The result (source, passes, below) takes ``h < below``: the longest run of hashes that fits the budget.
+    The result (source, passes, below) takes ``h < below``: the run of hashes whose sum is nearest to the budget.
     """
     b = budgets.select(
         "source",
@@ -74,11 +74,11 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
             "source", "passes",
             F.when(F.col("x").isNull(), F.col("room")).otherwise(F.col("room") - (F.col("x.upto") - F.col("x.tokens"))).alias("room"),
             F.when(F.col("x").isNull(), F.rpad("below", depth, "g")).otherwise(F.col("x.bucket")).alias("below"),
-            F.coalesce("x.single", F.lit(True)).alias("single"),
+            F.coalesce("x.single", F.lit(True)).alias("single"), F.col("x.tokens").alias("edge"),
         )
         b = cut(b, "mix")
         settled = bool(b.agg(F.min("single")).first()[0] in (True, None))
-    return b.select("source", "passes", "below")
+    return b.select("source", "passes", F.when(F.col("edge") < 2 * F.col("room"), F.concat("below", F.lit("g"))).otherwise(F.col("below")).alias("below"))
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights=WEIGHTS, share: float = 1.5, repeat: int = 2, max_broadcast: int = 100_000) -> DataFrame:
@@ -87,7 +87,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     Adds mix_size (words), source_size, target and copies (0 to ``repeat``) to every row. Deterministic: the choice
     depends on ids and sizes only, so reruns agree. Null texts have size 0; null sources are a source of their own
     (last); rows with one doc_id share a hash and so their fate; an empty table gives an empty result. A source's
-    taken words miss its target by less than its first left-out hash.
+    taken words miss its target by at most half the size of one document, the one at the threshold.
     """
     sized = docs.withColumn("mix_size", F.size(words_of(F.col(text))).cast("long")).withColumn("_h", doc_hash(F.col(doc_id)))
     slim = cut(sized.select(F.col(source).alias("source"), F.col("mix_size").alias("size"), F.col("_h").alias("h")), "mix")

@@ -133,10 +133,11 @@ t AS (SELECT source, source_size, CASE WHEN 2 * source_size <= level * w THEN CA
         ELSE least(CAST(2 * source_size AS DOUBLE), lev * w) END AS target FROM m),
 b AS (SELECT source, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
 x AS (SELECT d.doc_id, d.size, b.source_size, b.target, b.passes, b.target - b.passes * b.source_size AS room,
-        sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+        sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+        sum(d.size) OVER (PARTITION BY d.source, d.h) AS grp
       FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, size, source_size, target,
-       CAST(size * (passes + CASE WHEN passes < 2 AND upto <= room THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM x""",
+       CAST(size * (passes + CASE WHEN passes < 2 AND (upto <= room OR upto - grp <= room AND upto - room < room - (upto - grp)) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM x""",
     "op10_decontamination": r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
