@@ -1 +1,111 @@
-"""Registered queries."""
+"""Queries on event-driven bars."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.scalars import dbl
+from ..operators import bars as B
+from ..registry import query
+from ..schema import table, ticks, ticks_from_lineitem
+
+
+def _bars_sql(measure: str, threshold: int) -> str:
+    return f""", c AS (SELECT *, sum({measure}) OVER (PARTITION BY symbol ORDER BY ts, trade_id ROWS UNBOUNDED PRECEDING) // {threshold} AS bar FROM t),
+ o AS (SELECT *, row_number() OVER (PARTITION BY symbol, bar ORDER BY ts, trade_id) AS a, row_number() OVER (PARTITION BY symbol, bar ORDER BY ts DESC, trade_id DESC) AS z FROM c),
+ b AS (SELECT symbol, CAST(bar AS BIGINT) AS bar_id, min(ts) AS t0, max(ts) AS t1, max(CASE WHEN a = 1 THEN price END) AS open, max(price) AS high, min(price) AS low, max(CASE WHEN z = 1 THEN price END) AS close,
+  CAST(sum(q) AS DOUBLE) AS volume, sum(cents * q) / 100.0 AS dollar_volume, count(*) AS tick_count, round(stddev_samp(cents / 100.0), 6) AS price_std,
+  CAST(coalesce(sum(q) FILTER (WHERE NOT is_buyer_maker), 0) AS DOUBLE) AS buy_volume, CAST(coalesce(sum(q) FILTER (WHERE is_buyer_maker), 0) AS DOUBLE) AS sell_volume FROM o GROUP BY symbol, bar),
+ d AS (SELECT *, (epoch_us(t1) - epoch_us(t0)) / 1000000.0 AS secs FROM b)
+SELECT symbol, bar_id, t0 AS timestamp, t1 AS timestamp_close, open, high, low, close, volume, round(dollar_volume, 4) AS dollar_volume, tick_count, price_std, buy_volume, sell_volume, close - open AS price_change,
+ round(dollar_volume / volume, 6) AS vwap, round(secs, 6) AS duration_seconds, round(tick_count / CASE WHEN secs = 0 THEN 1.0 ELSE secs END, 6) AS ticks_per_second,
+ round(dollar_volume / CASE WHEN secs = 0 THEN 1.0 ELSE secs END, 4) AS dollar_volume_per_second,
+ round((epoch_us(t0) - epoch_us(lag(t0) OVER (PARTITION BY symbol ORDER BY bar_id))) / 1000000.0, 6) AS time_since_last_bar FROM d"""
+
+
+def _out(bars):
+    return bars.withColumns({"volume": F.col("volume").cast("double"), "dollar_volume": dbl("dollar_volume", 4), "buy_volume": F.col("buy_volume").cast("double"), "sell_volume": F.col("sell_volume").cast("double")})
+
+
+@query("bar02_dollar_bars", _bars_sql("cents * q", 1_000_000))
+def bar02(spark, d):
+    return _out(B.dollar_bars(ticks(spark, d), 10_000))
+
+
+@query("bar01_dollar_bars_basic", _bars_sql("cents * q", 250_000).rsplit("SELECT symbol, bar_id", 1)[0] + "SELECT symbol, bar_id, open, high, low, close, tick_count, price_std FROM d")
+def bar01(spark, d):
+    return B.dollar_bars(ticks(spark, d), 2_500).select("symbol", "bar_id", "open", "high", "low", "close", "tick_count", "price_std")
+
+
+@query("bar08_volume_bars", _bars_sql("q", 500))
+def bar08(spark, d):
+    return _out(B.volume_bars(ticks(spark, d), 500))
+
+
+@query("bar09_tick_bars", _bars_sql("1", 25))
+def bar09(spark, d):
+    return _out(B.tick_bars(ticks(spark, d), 25))
+
+
+@query("bar03_auto_threshold", "SELECT symbol, round(avg(cents * q) / 100 * 50, 6) AS threshold FROM t GROUP BY symbol")
+def bar03(spark, d):
+    return B.auto_threshold(ticks(spark, d), 50)
+
+
+@query("bar04_optimal_threshold", "SELECT symbol, round(sum(cents * q) / 100.0 / 100, 6) AS threshold FROM t GROUP BY symbol")
+def bar04(spark, d):
+    return B.optimal_threshold(ticks(spark, d), target_bars=100)
+
+
+@query("bar04_optimal_threshold_per_day", "SELECT symbol, round(sum(cents * q) / 100.0 / floor(5.0 * ((epoch_us(max(ts)) - epoch_us(min(ts))) / 86400000000.0)), 6) AS threshold FROM t GROUP BY symbol")
+def bar04_day(spark, d):
+    return B.optimal_threshold(ticks(spark, d), target_bars_per_day=5.0)
+
+
+@query("bar05_adaptive_bars")
+def bar05(spark, d):
+    return B.adaptive_bars(ticks(spark, d), 5_000.0)
+
+
+@query("bar06_reset_bars")
+def bar06(spark, d):
+    return B.reset_bars(ticks(spark, d), 5_000.0)
+
+
+_STATS = """, r AS (SELECT *, CAST(close AS DOUBLE) / CAST(lag(close) OVER (PARTITION BY symbol ORDER BY bar_id) AS DOUBLE) - 1 AS r FROM d)
+SELECT symbol, count(*) AS n_bars, round(avg(tick_count), 6) AS mean_ticks, round(stddev_samp(tick_count), 6) AS std_ticks, round(avg(volume), 6) AS mean_volume, round(avg(dollar_volume), 4) AS mean_dollars,
+ round(avg(r), 6) AS mean_return, round(stddev_samp(r), 6) AS std_return FROM r GROUP BY symbol"""
+_HEAD = _bars_sql("cents * q", 1_000_000).rsplit("\nSELECT symbol, bar_id, t0", 1)[0]
+
+
+@query("bar10_bar_statistics", _HEAD + _STATS)
+def bar10(spark, d):
+    return B.bar_statistics(B.dollar_bars(ticks(spark, d), 10_000))
+
+
+@query("bar12_adaptive_stability")
+def bar12(spark, d):
+    t = ticks(spark, d)
+    kinds = [("fixed", B.reset_bars(t, 5_000.0, keep_tail=False)), ("adaptive", B.adaptive_bars(t, 5_000.0))]
+    a, b = (x.groupBy("symbol").agg(F.lit(k).alias("kind"), F.count("*").alias("n"), dbl(F.stddev_samp("tick_count")).alias("std_ticks")) for k, x in kinds)
+    return a.unionByName(b)
+
+
+@query("bar13_bars_by_symbol_threshold", _bars_sql("cents * q", 1).replace("// 1 AS bar", "// CASE symbol WHEN 'click' THEN 500000 WHEN 'view' THEN 2000000 ELSE 1000000 END AS bar").rsplit("SELECT symbol, bar_id", 1)[0] + "SELECT symbol, bar_id, open, high, low, close, tick_count FROM d")
+def bar13(spark, d):
+    own = spark.createDataFrame([("click", 5_000), ("view", 20_000), ("default", 10_000)], "symbol string, threshold long").withColumn("threshold", F.col("threshold").cast("decimal(38,0)"))
+    return B.dollar_bars(ticks(spark, d), own).select("symbol", "bar_id", "open", "high", "low", "close", "tick_count")
+
+
+@query("bar14_validate_ticks", "SELECT count(*) AS records, CAST(0 AS BIGINT) AS null_price, CAST(0 AS BIGINT) AS null_quantity, count(*) FILTER (WHERE price <= 0) AS bad_price, count(*) FILTER (WHERE quantity < 0) AS bad_quantity, count(*) > 0 AS valid FROM t")
+def bar14(spark, d):
+    return B.validate_ticks(ticks(spark, d))
+
+
+@query("bar_lineitem_dollar_bars", """WITH c AS (SELECT l_returnflag AS symbol, CAST(round(l_extendedprice * 100) AS BIGINT) AS m,
+ sum(CAST(round(l_extendedprice * 100) AS BIGINT)) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS s FROM lineitem)
+SELECT symbol, CAST(s // 1000000000 AS BIGINT) AS bar_id, count(*) AS tick_count, CAST(sum(m) AS BIGINT) AS cents FROM c GROUP BY 1, 2""", raw=True)
+def bar_lineitem(spark, d):
+    t = ticks_from_lineitem(table(spark, d, "lineitem"))
+    b = B.floor_bars(t, F.col("notional_cents"), 1_000_000_000)
+    return b.groupBy("symbol", "bar_id").agg(F.count("*").alias("tick_count"), F.sum("notional_cents").alias("cents"))
