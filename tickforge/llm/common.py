@@ -99,3 +99,58 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
         raise RuntimeError("connected_components did not settle")
     roots = e.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+
+
+#: In buckets of at most CROWD members every pair of different components is compared; in larger ones each member is
+#: compared with a few representatives a round, for ROUNDS rounds or until no link is found.
+CROWD, ROUNDS = 48, 4
+
+
+def _star(member: DataFrame, picks: list) -> DataFrame:
+    """Pairs (a, b) of every member and the representatives of its bucket."""
+    reps = member.groupBy("key").agg(F.array_compact(F.array_distinct(F.array(*picks))).alias("reps"))
+    p = member.join(reps, "key").select("id", F.explode("reps").alias("rep")).where("id <> rep")
+    return p.select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
+
+
+def bucket_links(buckets: DataFrame, screen, confirm) -> tuple[DataFrame, DataFrame]:
+    """(links, components) of ids that share a bucket; buckets: distinct (key, id).
+
+    screen(pairs) drops pairs that can't be alike, confirm(pairs) keeps those that are; both take and return (a, b).
+    First each member meets its bucket's smallest id and its weightiest one. The weight of an id is the sum of the
+    sizes of its buckets, so the text that a group of near copies was made from, which is in the fullest bucket of
+    every band, is found without comparing copies with each other. Then only buckets whose members still lie in
+    several components go on: see CROWD. Work is linear in the members of buckets.
+    """
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    member = cut(buckets.join(sizes, "key"), "members")
+    weight = member.groupBy("id").agg(F.sum("m").alias("w"))
+    member = cut(member.join(weight, "id"), "members")
+    heavy = F.max_by("id", F.struct("w", -F.col("id")))
+    pairs = cut(screen(_star(member, [F.min("id"), heavy])), "pairs")
+    links, tried = confirm(pairs), pairs
+    comps = cut(connected_components(links, "a", "b"), "components")
+    for turn in range(ROUNDS):
+        d = member.join(comps.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c"), "left").select("key", "id", "m", "w", F.coalesce("component", "id").alias("comp"))
+        main = d.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("k"))
+        d = cut(d.join(main.where("k > 1").select("key", F.col("top.comp").alias("main")), "key"), "open")
+        big = d.where(F.col("m") > CROWD)
+        away = F.col("comp") != F.col("main")
+        other = lambda f: F.when(away, f)
+        toss = F.xxhash64("id", F.lit(turn))
+        new = _star(big, [F.min(other(F.col("id"))), F.max_by("id", F.when(away, F.struct("w", -F.col("id")))), F.min_by("id", F.when(away, toss)), F.min_by("id", toss)])
+        if turn == 0:
+            small = d.where(F.col("m") <= CROWD)
+            x = small.where(away).select("key", F.col("id").alias("i1"), F.col("comp").alias("c1"))
+            once = ~away | (F.col("i1") < F.col("id"))
+            cross = x.join(small, "key").where((F.col("c1") != F.col("comp")) & once)
+            new = new.unionByName(cross.select(F.least("i1", "id").alias("a"), F.greatest("i1", "id").alias("b"))).distinct()
+        new = cut(screen(new.join(tried, ["a", "b"], "left_anti")), "pairs")
+        if not new.limit(1).count():
+            break
+        extra = confirm(new)
+        if not extra.limit(1).count():
+            break
+        links, tried = cut(links.unionByName(extra), "links"), cut(tried.unionByName(new), "pairs")
+        comps = cut(connected_components(links, "a", "b"), "components")
+    return links, comps

@@ -10,14 +10,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut
+from .common import bucket_links, cut
 
 #: MinHash samples: BANDS x ROWS. At a similarity of 0.8 a pair shares no band with a probability of 3e-5.
 BANDS, ROWS = 26, 5
 #: Longs of a parity bitmap; 64 bits each.
 ODD_LONGS = 4
-#: Pairs whose estimated similarity lies this far below the threshold are not confirmed: seven standard deviations.
-MARGIN = 0.25
+#: Pairs whose estimated similarity lies this far below the threshold are not confirmed: over three standard deviations.
+MARGIN = 0.15
 _BLANKS = bytes(0x20 if b in (0x20, 9, 10, 11, 12, 13) else b for b in bytes(range(256)).lower())
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _rng = np.random.RandomState(20240101)
@@ -137,11 +137,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     """One row per document: doc_id, n_shingles, component_id, kept (doc_id = component_id).
 
     Documents are linked if their sets of n-word shingles share at least percent % of their union; component_id is
-    the smallest id reachable. Documents with equal sets form one class and are compared once. In each band bucket
-    the classes are compared with the smallest one; after the components are known, classes that still lie in
-    different components of a bucket are compared with each other, so no pair that shares a bucket is lost, while a
-    large group of near copies costs a few comparisons per member. Pairs are screened by their odd sketches and
-    confirmed on their full sets. Null, empty and blank texts are linked with nothing and kept; null ids are left
+    the smallest id reachable. Documents with equal sets form one class and are compared once. Classes that share a
+    band bucket are compared by bucket_links, so that a large group of near copies costs a few comparisons per
+    member. Pairs are screened by their odd sketches and confirmed on their full sets. Null, empty and blank texts are linked with nothing and kept; null ids are left
     out; rows that repeat an id must repeat its text.
     """
     feats = cut(sketches(docs, n, text, doc_id), "sketches")
@@ -151,34 +149,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     # A set of fewer than 100 * (1 - s) / s shingles, rounded up, has no similar set but itself.
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 60
     live = classes.where(F.col("n_shingles") >= least)
-    bands = live.select(F.explode("bands").alias("key"), "rep")
-    buckets = cut(bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("m")).where("lo < hi"), "buckets")
-    crowd = buckets.where("m > 2").select("key", "lo")
-    starred = bands.join(crowd, "key").where("rep > lo").select(F.col("lo").alias("a"), F.col("rep").alias("b"))
-    pairs = buckets.select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionByName(starred).distinct()
+    buckets = live.select(F.explode("bands").alias("key"), F.col("rep").alias("id"))
     odd = live.select("rep", "n_shingles", "odd")
-    pairs = _screen(pairs, odd, percent)
-    pairs = cut(pairs, "pairs")
-    links = _confirm(pairs, docs, n, percent, text, doc_id)
-    comps = cut(connected_components(links, "a", "b"), "components")
-
-    # Buckets whose classes are not all in one component yet.
-    member = bands.join(crowd.select("key"), "key").join(comps, F.col("rep") == F.col("id"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-    member = cut(member, "members")
-    sizes = member.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    opened = sizes.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("k")).where("k > 1").select("key", F.col("top.comp").alias("main"))
-    rest = member.join(opened, "key").join(odd, "rep")
-    minor = rest.where("comp <> main").select("key", F.col("rep").alias("r1"), F.col("comp").alias("c1"), F.col("odd").alias("o1"), F.col("n_shingles").alias("n1"))
-    close = similarity_estimate("o1", "odd") >= percent / 100 - MARGIN
-    fits = (100 * F.least("n1", "n_shingles") >= percent * F.greatest("n1", "n_shingles"))
-    once = (F.col("comp") == F.col("main")) | (F.col("r1") < F.col("rep"))
-    more = minor.join(rest, "key").where((F.col("c1") != F.col("comp")) & once & fits & close).select(F.least("r1", "rep").alias("a"), F.greatest("r1", "rep").alias("b")).distinct()
-    more = cut(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    if more.limit(1).count():
-        extra = _confirm(more, docs, n, percent, text, doc_id)
-        if extra.limit(1).count():
-            comps = cut(connected_components(links.unionByName(extra), "a", "b"), "components")
-
+    _, comps = bucket_links(buckets, lambda p: _screen(p, odd, percent), lambda p: _confirm(p, docs, n, percent, text, doc_id))
     home = classes.select(F.col("class_key").alias("_k"), "rep").join(comps, F.col("rep") == F.col("id"), "left").select("_k", F.coalesce("component", "rep").alias("component_id"))
     out = feats.select("doc_id", "n_shingles", "class_key").join(home, F.col("class_key") == F.col("_k"), "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
