@@ -16,8 +16,8 @@ from .common import bucket_links, cut
 BANDS, ROWS = 26, 5
 #: Longs of a parity bitmap; 64 bits each.
 ODD_LONGS = 4
-#: Pairs whose estimated similarity lies this far below the threshold are not confirmed: over three standard deviations.
-MARGIN = 0.15
+#: Pairs whose estimated similarity lies this far below the threshold are not confirmed: over five standard deviations.
+MARGIN = 0.25
 _BLANKS = bytes(0x20 if b in (0x20, 9, 10, 11, 12, 13) else b for b in bytes(range(256)).lower())
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _rng = np.random.RandomState(20240101)
