@@ -86,9 +86,10 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
 
     Adds mix_size (words), source_size, target and copies (0 to ``repeat``) to every row. Deterministic: the choice
     depends on ids and sizes only, so reruns agree. Null texts have size 0; null sources are a source of their own
-    (last); rows with one doc_id share a hash and so their fate; an empty table gives an empty result. A source's
+    (last); columns of these names in docs are replaced; rows with one doc_id share a hash and so their fate; an empty table gives an empty result. A source's
     taken words miss its target by at most half the size of one document, the one at the threshold.
     """
+    docs = docs.drop("mix_size", "source_size", "target", "copies")
     sized = docs.withColumn("mix_size", F.size(words_of(F.col(text))).cast("long")).withColumn("_h", doc_hash(F.col(doc_id)))
     slim = cut(sized.select(F.col(source).alias("source"), F.col("mix_size").alias("size"), F.col("_h").alias("h")), "mix")
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
