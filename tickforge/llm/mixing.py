@@ -40,7 +40,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, repeat
         .withColumn("_level", (F.col("_total") * F.lit(float(share)) - F.col("_capped") * F.lit(float(repeat))) / F.col("_open"))
         .withColumn("_over", F.col("source_size") * F.lit(float(repeat)) <= F.col("_level") * F.col("weight"))
     )
-    level = F.min(F.when(~F.col("_over"), F.col("_level"))).over(whole)
+    # The first source that is not capped has the level of all the rest; later rows would see lower ones.
+    level = F.max(F.when(~F.col("_over"), F.col("_level"))).over(whole)
     cap = F.col("source_size") * F.lit(float(repeat))
     return t.withColumn("target", F.when(F.col("_over"), cap).otherwise(F.least(cap, level * F.col("weight")))).select("source", "source_size", "weight", "target")
 

@@ -128,7 +128,7 @@ o AS (SELECT *, sum(source_size) OVER () AS total,
         coalesce(sum(source_size) OVER (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
         sum(w) OVER (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM w),
 l AS (SELECT *, (CAST(total AS DOUBLE) * CAST(1.5 AS DOUBLE) - CAST(capped AS DOUBLE) * CAST(2 AS DOUBLE)) / open AS level FROM o),
-m AS (SELECT *, min(CASE WHEN NOT (2 * source_size <= level * w) THEN level END) OVER () AS lev FROM l),
+m AS (SELECT *, max(CASE WHEN NOT (2 * source_size <= level * w) THEN level END) OVER () AS lev FROM l),
 t AS (SELECT source, source_size, CASE WHEN 2 * source_size <= level * w THEN CAST(2 * source_size AS DOUBLE)
         ELSE least(CAST(2 * source_size AS DOUBLE), lev * w) END AS target FROM m),
 b AS (SELECT source, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
