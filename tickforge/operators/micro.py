@@ -68,7 +68,7 @@ def runs_test(ticks: DataFrame, seconds: int = 3600) -> DataFrame:
     var = 2 * F.col("n1") * F.col("n2") * (2 * F.col("n1") * F.col("n2") - F.col("n")) / (F.col("n") * F.col("n") * (F.col("n") - 1))
     z = -F.try_divide(F.col("runs") - mean, F.sqrt(F.when(var > 0, var)))
     p = F.when(F.col("n") > 10, F.when((F.col("n1") == 0) | (F.col("n2") == 0), 0.0).otherwise(z))
-    return g.select("symbol", "bucket", F.col("runs").cast("long").alias("runs"), dbl(p).alias("persistence"))
+    return g.select("symbol", "bucket", F.col("runs").cast("long").alias("runs"), (dbl(p) + 0.0).alias("persistence"))
 
 
 def tick_frequency(ticks: DataFrame, seconds: int = 3600) -> DataFrame:

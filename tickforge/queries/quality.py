@@ -168,7 +168,7 @@ def mic01(spark, d):
 @query("mic02_win23_runs_test", _win(86400) + f""", l AS (SELECT *, CASE WHEN is_buyer_maker <> lag(is_buyer_maker) OVER (PARTITION BY symbol, bucket ORDER BY ts, trade_id) THEN 1 ELSE 0 END AS c FROM w),
  g AS (SELECT symbol, bucket, CAST(count(*) AS DOUBLE) AS n, CAST({_SB} AS DOUBLE) AS n1, CAST({_SS} AS DOUBLE) AS n2, sum(c) + 1 AS runs FROM l GROUP BY symbol, bucket),
  v AS (SELECT *, 2 * n1 * n2 / n + 1 AS mu, CASE WHEN n > 1 THEN 2 * n1 * n2 * (2 * n1 * n2 - n) / (n * n * (n - 1)) END AS va FROM g)
-SELECT symbol, bucket, CAST(runs AS BIGINT) AS runs, round(CASE WHEN n > 10 THEN CASE WHEN n1 = 0 OR n2 = 0 THEN 0.0 WHEN va > 0 THEN -(runs - mu) / sqrt(va) END END, 6) AS persistence FROM v""")
+SELECT symbol, bucket, CAST(runs AS BIGINT) AS runs, round(CASE WHEN n > 10 THEN CASE WHEN n1 = 0 OR n2 = 0 THEN 0.0 WHEN va > 0 THEN -(runs - mu) / sqrt(va) END END, 6) + 0.0 AS persistence FROM v""")
 def mic02(spark, d):
     return M.runs_test(ticks(spark, d), 86400)
 
@@ -260,17 +260,17 @@ def obk03(spark, d):
     return M.weighted_spread(books(spark, d)).select("symbol", "date", "weighted_spread")
 
 
-@query("obk04_level_notionals", _BOOK + ", m AS (SELECT symbol, date, max(ts) AS ts FROM ba GROUP BY symbol, date) SELECT ba.symbol, m.ts, CAST(b - 1 AS INTEGER) AS level, p AS price, q AS quantity, round(p * q, 4) AS notional, round(sum(p * q) OVER (PARTITION BY ba.symbol, ba.date ORDER BY b), 4) AS running FROM ba JOIN m ON ba.symbol = m.symbol AND ba.date = m.date WHERE b <= 10")
+@query("obk04_level_notionals", _BOOK + ", m AS (SELECT symbol, date, max(ts) FILTER (WHERE a <= 10 OR b <= 10) AS ts FROM ba GROUP BY symbol, date) SELECT ba.symbol, m.ts, CAST(b - 1 AS INTEGER) AS level, p AS price, q AS quantity, round(p * q, 4) AS notional, round(sum(p * q) OVER (PARTITION BY ba.symbol, ba.date ORDER BY b), 4) AS running FROM ba JOIN m ON ba.symbol = m.symbol AND ba.date = m.date WHERE b <= 10")
 def obk04(spark, d):
     return M.level_notionals(books(spark, d))
 
 
-@query("obk05_spread_statistics", _BOOK + """, x AS (SELECT symbol, max(ts) AS ts, max(CASE WHEN b = 1 THEN p END) AS bb, max(CASE WHEN a = 1 THEN p END) AS aa FROM ba GROUP BY symbol, date), s AS (SELECT symbol, ts, round((aa - bb) / ((aa + bb) / 2) * 10000, 4) AS spread_bps FROM x)
+@query("obk05_spread_statistics", _BOOK + """, x AS (SELECT symbol, max(ts) FILTER (WHERE a <= 10 OR b <= 10) AS ts, max(CASE WHEN b = 1 THEN p END) AS bb, max(CASE WHEN a = 1 THEN p END) AS aa FROM ba GROUP BY symbol, date), s AS (SELECT symbol, ts, round((aa - bb) / ((aa + bb) / 2) * 10000, 4) AS spread_bps FROM x)
 SELECT symbol, ts, spread_bps, round(avg(spread_bps) OVER w, 4) AS avg_bps, min(spread_bps) OVER w AS min_bps, max(spread_bps) OVER w AS max_bps FROM s WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)""")
 def obk05(spark, d):
     return M.spread_statistics(books(spark, d))
 
 
-@query("obk06_last_book_per_week", _BOOK + ", m AS (SELECT symbol, date, max(ts) AS ts, count(*) AS n FROM ba GROUP BY symbol, date), k AS (SELECT *, date_trunc('week', ts) AS wk, row_number() OVER (PARTITION BY symbol, to_timestamp(CAST(floor(epoch(ts) / 604800) * 604800 AS BIGINT)) ORDER BY ts DESC) AS k FROM m) SELECT symbol, ts, CAST(least(10, n) AS INTEGER) AS levels FROM k WHERE k = 1")
+@query("obk06_last_book_per_week", _BOOK + ", m AS (SELECT symbol, date, max(ts) FILTER (WHERE a <= 10 OR b <= 10) AS ts, count(*) AS n FROM ba GROUP BY symbol, date), k AS (SELECT *, date_trunc('week', ts) AS wk, row_number() OVER (PARTITION BY symbol, to_timestamp(CAST(floor(epoch(ts) / 604800) * 604800 AS BIGINT)) ORDER BY ts DESC) AS k FROM m) SELECT symbol, ts, CAST(least(10, n) AS INTEGER) AS levels FROM k WHERE k = 1")
 def obk06(spark, d):
     return M.last_book(books(spark, d), 604800).select("symbol", "ts", F.size("bids").alias("levels"))
