@@ -94,6 +94,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     skipped; an empty benchmark contaminates nothing. clean_text is the text without the hit words' spans.
     """
     spark = docs.sparkSession
+    docs = docs.drop("n_words", "n_hit", "n_items", "items_sha256", "clean_text", "contaminated")
     items = benchmark.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("t is not null and i is not null")
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     if total > max_items_bytes:
@@ -102,7 +103,6 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     extra = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType())]
     if clean_spans:
         extra.append(T.StructField("clean_text", T.StringType()))
-    docs = docs.drop(*[f.name for f in extra], "contaminated")
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
