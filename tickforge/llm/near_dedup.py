@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_links, cut
+from .common import bucket_links, cut, small_or_plain
 
 #: MinHash samples: BANDS x ROWS. At a similarity of 0.8 a pair shares no band with a probability of 3e-5.
 BANDS, ROWS = 26, 5
@@ -18,6 +18,8 @@ BANDS, ROWS = 26, 5
 ODD_LONGS = 4
 #: Pairs whose estimated similarity lies this far below the threshold are not confirmed: over five standard deviations.
 MARGIN = 0.25
+#: Ids of candidates that are broadcast to look up their texts, at most; more of them are joined by a shuffle.
+MAX_BROADCAST = 300_000
 _BLANKS = bytes(0x20 if b in (0x20, 9, 10, 11, 12, 13) else b for b in bytes(range(256)).lower())
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _rng = np.random.RandomState(20240101)
@@ -114,6 +116,7 @@ def sketches(docs: DataFrame, n: int, text: str, doc_id: str) -> DataFrame:
 def _confirm(pairs: DataFrame, docs: DataFrame, n: int, percent: int, text: str, doc_id: str) -> DataFrame:
     """Those of the pairs (a, b) whose full shingle sets reach the similarity; only texts of candidates are moved."""
     ends = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
+    ends = small_or_plain(cut(ends, "ends"), MAX_BROADCAST)
     texts = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("_text")).join(ends, F.col("_doc") == F.col("_id"), "left_semi").dropDuplicates(["_doc"])
     texts = cut(texts, "texts")
 
