@@ -63,9 +63,11 @@ def small_or_plain(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-    return row["n"], row["x"]
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, which is not itself a u: then each v is the smallest id of its component."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    odd = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)")
+    return odd.limit(1).count() == 0
 
 
 def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
@@ -78,9 +80,8 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = cut(e, "edges")
-    mark = _mark(e)
     for _ in range(max_rounds):
-        if mark[0] == 0:
+        if _is_stars(e):
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -92,9 +93,7 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
         )
         done = cut(small, "edges")
         drop_cut(e)
-        e, before, mark = done, mark, _mark(done)
-        if mark == before:
-            break
+        e = done
     else:
         raise RuntimeError("connected_components did not settle")
     roots = e.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
@@ -107,9 +106,15 @@ CROWD, ROUNDS = 48, 4
 
 
 def _star(member: DataFrame, picks: list) -> DataFrame:
-    """Pairs (a, b) of every member and the representatives of its bucket."""
+    """Pairs (a, b) of every member and those representatives of its buckets that lie in other components.
+
+    picks give (id, comp). What a member meets is gathered over its buckets before it is spread out, so
+    a pair that meets in many buckets is one row from then on.
+    """
     reps = member.groupBy("key").agg(F.array_compact(F.array_distinct(F.array(*picks))).alias("reps"))
-    p = member.join(reps, "key").select("id", F.explode("reps").alias("rep")).where("id <> rep")
+    p = member.join(reps, "key").select("id", F.filter("reps", lambda r: r["comp"] != F.col("comp")).alias("reps")).where(F.size("reps") > 0)
+    p = p.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("reps"))).alias("reps"))
+    p = p.select("id", F.explode("reps.id").alias("rep"))
     return p.select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
 
 
@@ -126,8 +131,8 @@ def bucket_links(buckets: DataFrame, screen, confirm) -> tuple[DataFrame, DataFr
     member = cut(buckets.join(sizes, "key"), "members")
     weight = member.groupBy("id").agg(F.sum("m").alias("w"))
     member = cut(member.join(weight, "id"), "members")
-    heavy = F.max_by("id", F.struct("w", -F.col("id")))
-    pairs = cut(screen(_star(member, [F.min("id"), heavy])), "pairs")
+    one = F.struct("id", "comp")
+    pairs = cut(screen(_star(member.withColumn("comp", F.col("id")), [F.min(one), F.max_by(one, F.struct("w", -F.col("id")))])), "pairs")
     links, tried = confirm(pairs), pairs
     comps = cut(connected_components(links, "a", "b"), "components")
     for turn in range(ROUNDS):
@@ -136,9 +141,8 @@ def bucket_links(buckets: DataFrame, screen, confirm) -> tuple[DataFrame, DataFr
         d = cut(d.join(main.where("k > 1").select("key", F.col("top.comp").alias("main")), "key"), "open")
         big = d.where(F.col("m") > CROWD)
         away = F.col("comp") != F.col("main")
-        other = lambda f: F.when(away, f)
         toss = F.xxhash64("id", F.lit(turn))
-        new = _star(big, [F.min(other(F.col("id"))), F.max_by("id", F.when(away, F.struct("w", -F.col("id")))), F.min_by("id", F.when(away, toss)), F.min_by("id", toss)])
+        new = _star(big, [F.min(F.when(away, one)), F.max_by(one, F.when(away, F.struct("w", -F.col("id")))), F.min_by(one, F.when(away, toss)), F.min_by(one, toss)])
         if turn == 0:
             small = d.where(F.col("m") <= CROWD)
             x = small.where(away).select("key", F.col("id").alias("i1"), F.col("comp").alias("c1"))
@@ -151,6 +155,8 @@ def bucket_links(buckets: DataFrame, screen, confirm) -> tuple[DataFrame, DataFr
         extra = confirm(new)
         if not extra.limit(1).count():
             break
-        links, tried = cut(links.unionByName(extra), "links"), cut(tried.unionByName(new), "pairs")
-        comps = cut(connected_components(links, "a", "b"), "components")
+        links, tried = links.unionByName(extra), tried.unionByName(new)
+        # Stars of the components so far stand for the links behind them.
+        stars = comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        comps = cut(connected_components(stars.unionByName(extra), "a", "b"), "components")
     return links, comps
