@@ -122,6 +122,34 @@ def test_near_duplicates(spark, sf_dir, n):
     assert [(r["n_shingles"], r["component_id"], r["kept"]) for r in got] == [(len(s), find(i), find(i) == i) for i, s in enumerate(sets)]
 
 
+@pytest.mark.parametrize("block", [1024, 32])
+def test_crowded_bucket_of_many_groups(spark, monkeypatch, block):
+    # Two crowded buckets that overlap: one of 150 alike pairs, the other with 60 more; nothing else links them.
+    monkeypatch.setattr(common, "BLOCK", block)
+    monkeypatch.setattr(common, "CHUNK", 20_000)
+    rows = [(1, i) for i in range(300)] + [(2, i) for i in range(200, 420)]
+    buckets = spark.createDataFrame(rows, "key long, id long")
+    features = buckets.select("id", F.col("id").alias("f")).distinct()
+    confirm = lambda p: common.cut(p.where("a % 2 = 0 and b = a + 1"), "links")
+    links, comps = common.bucket_links(buckets, features, lambda x, y: F.abs(x - y) < 400, confirm)
+    assert sorted((r["a"], r["b"]) for r in links.collect()) == [(i, i + 1) for i in range(0, 420, 2)]
+    assert sorted((r["id"], r["component"]) for r in comps.collect()) == [(i, i - i % 2) for i in range(420)]
+
+
+def test_near_duplicates_of_one_template(spark):
+    # 80 pages of one template with a similarity of about 0.7 to each other, and one copy of each that is just alike.
+    rnd = random.Random(8)
+    head = [f"t{i}" for i in range(170)]
+    texts = []
+    for k in range(80):
+        own = [f"p{k}_{i}" for i in range(35)]
+        twin = list(own)
+        twin[rnd.randrange(35)] = "other"
+        texts += [" ".join(head + own), " ".join(head + twin)]
+    got = near_dedup.near_duplicates(docs_of(spark, texts), n=2).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in got] == [i - i % 2 for i in range(160)]
+
+
 def test_odd_sketch_estimates():
     rnd = np.random.RandomState(3)
     for j in (0.8, 0.9, 0.97):

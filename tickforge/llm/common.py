@@ -100,9 +100,10 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
-#: In buckets of at most CROWD members every pair of different components is compared; in larger ones each member is
-#: compared with a few representatives a round, for ROUNDS rounds or until no link is found.
-CROWD, ROUNDS = 48, 4
+#: In buckets of at most CROWD members every pair of different components is compared at once. In larger ones each
+#: member first meets a few representatives a round, for up to ROUNDS rounds while links are found; then every pair
+#: that is still open is compared, in blocks of BLOCK by BLOCK members, and CHUNK pairs are confirmed at a time.
+CROWD, ROUNDS, BLOCK, CHUNK = 48, 4, 1024, 2_000_000
 
 
 def _star(member: DataFrame, picks: list) -> DataFrame:
@@ -118,15 +119,41 @@ def _star(member: DataFrame, picks: list) -> DataFrame:
     return p.select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
 
 
-def bucket_links(buckets: DataFrame, screen, confirm) -> tuple[DataFrame, DataFrame]:
-    """(links, components) of ids that share a bucket; buckets: distinct (key, id).
+def _all_pairs(open_: DataFrame, features: DataFrame, may) -> DataFrame:
+    """Pairs (a, b) of open_ (key, id, m, comp, main) that share a bucket, lie in different components and may be alike.
 
-    screen(pairs) drops pairs that can't be alike, confirm(pairs) keeps those that are; both take and return (a, b).
+    Members outside a bucket's main component meet all its members. Both sides are dealt to blocks by their ids, so
+    a crowded bucket is spread over many tasks; a pair comes out of the first bucket that it shares only.
+    """
+    keys = open_.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    d = open_.join(keys, "id").join(features, "id").withColumn("n", F.ceil(F.col("m") / BLOCK).cast("int"))
+    d = d.withColumn("blk", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")).withColumn("away", F.col("comp") != F.col("main"))
+    span = F.sequence(F.lit(0), F.col("n") - 1)
+    one = d.where("away").select("key", F.col("blk").alias("p"), F.explode(span).alias("q"), F.col("id").alias("i1"), F.col("comp").alias("c1"), F.col("keys").alias("k1"), F.col("f").alias("f1"))
+    two = d.select("key", F.explode(span).alias("p"), F.col("blk").alias("q"), F.col("id").alias("i2"), F.col("comp").alias("c2"), F.col("keys").alias("k2"), F.col("f").alias("f2"), "away")
+    first = F.col("key") == F.array_min(F.array_intersect("k1", "k2"))
+    once = ~F.col("away") | (F.col("i1") < F.col("i2"))
+    pairs = one.join(two, ["key", "p", "q"]).where((F.col("c1") != F.col("c2")) & once & may(F.col("f1"), F.col("f2")) & first)
+    return pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct()
+
+
+def bucket_links(buckets: DataFrame, features: DataFrame, may, confirm) -> tuple[DataFrame, DataFrame]:
+    """(links, components) of ids that share a bucket; buckets: distinct (key, id); features: (id, f).
+
+    may(f1, f2) is false for pairs that can't be alike, confirm(pairs) keeps those of pairs (a, b) that are.
     First each member meets its bucket's smallest id and its weightiest one. The weight of an id is the sum of the
     sizes of its buckets, so the text that a group of near copies was made from, which is in the fullest bucket of
     every band, is found without comparing copies with each other. Then only buckets whose members still lie in
-    several components go on: see CROWD. Work is linear in the members of buckets.
+    several components go on: see CROWD. No pair that shares a bucket stays open, so components are those of
+    comparing all of them; work is linear in the members that representatives link, and quadratic in a crowded
+    bucket's members that they don't.
     """
+
+    def screen(pairs: DataFrame) -> DataFrame:
+        x = features.select(F.col("id").alias("a"), F.col("f").alias("fa"))
+        y = features.select(F.col("id").alias("b"), F.col("f").alias("fb"))
+        return pairs.join(x, "a").join(y, "b").where(may(F.col("fa"), F.col("fb"))).select("a", "b")
+
     sizes = buckets.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     member = cut(buckets.join(sizes, "key"), "members")
     weight = member.groupBy("id").agg(F.sum("m").alias("w"))
@@ -135,28 +162,46 @@ def bucket_links(buckets: DataFrame, screen, confirm) -> tuple[DataFrame, DataFr
     pairs = cut(screen(_star(member.withColumn("comp", F.col("id")), [F.min(one), F.max_by(one, F.struct("w", -F.col("id")))])), "pairs")
     links, tried = confirm(pairs), pairs
     comps = cut(connected_components(links, "a", "b"), "components")
-    for turn in range(ROUNDS):
+    gain = True
+    for turn in range(ROUNDS + 1):
         d = member.join(comps.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c"), "left").select("key", "id", "m", "w", F.coalesce("component", "id").alias("comp"))
         main = d.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("k"))
         d = cut(d.join(main.where("k > 1").select("key", F.col("top.comp").alias("main")), "key"), "open")
         big = d.where(F.col("m") > CROWD)
-        away = F.col("comp") != F.col("main")
-        toss = F.xxhash64("id", F.lit(turn))
-        new = _star(big, [F.min(F.when(away, one)), F.max_by(one, F.when(away, F.struct("w", -F.col("id")))), F.min_by(one, F.when(away, toss)), F.min_by(one, toss)])
-        if turn == 0:
-            small = d.where(F.col("m") <= CROWD)
-            x = small.where(away).select("key", F.col("id").alias("i1"), F.col("comp").alias("c1"))
-            once = ~away | (F.col("i1") < F.col("id"))
-            cross = x.join(small, "key").where((F.col("c1") != F.col("comp")) & once)
-            new = new.unionByName(cross.select(F.least("i1", "id").alias("a"), F.greatest("i1", "id").alias("b"))).distinct()
-        new = cut(screen(new.join(tried, ["a", "b"], "left_anti")), "pairs")
-        if not new.limit(1).count():
+        whole = turn == ROUNDS or not gain
+        if turn and not big.limit(1).count():
             break
-        extra = confirm(new)
-        if not extra.limit(1).count():
+        if whole:
+            new = _all_pairs(big, features, may)
+        else:
+            away = F.col("comp") != F.col("main")
+            toss = F.xxhash64("id", F.lit(turn))
+            new = _star(big, [F.min(F.when(away, one)), F.max_by(one, F.when(away, F.struct("w", -F.col("id")))), F.min_by(one, F.when(away, toss)), F.min_by(one, toss)])
+            if turn == 0:
+                small = d.where(F.col("m") <= CROWD)
+                x = small.where(away).select("key", F.col("id").alias("i1"), F.col("comp").alias("c1"))
+                once = ~away | (F.col("i1") < F.col("id"))
+                cross = x.join(small, "key").where((F.col("c1") != F.col("comp")) & once)
+                new = new.unionByName(cross.select(F.least("i1", "id").alias("a"), F.greatest("i1", "id").alias("b"))).distinct()
+            new = screen(new)
+        new = cut(new.join(tried, ["a", "b"], "left_anti"), "pairs")
+        parts = -(-new.count() // CHUNK)
+        gain = False
+        for part in range(parts):
+            todo = new
+            if parts > 1:
+                # Pairs that the parts before have linked are left out.
+                of = lambda end: comps.select(F.col("id").alias(end), F.col("component").alias("_" + end))
+                todo = new.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == part).join(of("a"), "a", "left").join(of("b"), "b", "left")
+                todo = cut(todo.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b"), "pairs")
+            extra = confirm(todo)
+            if not extra.limit(1).count():
+                continue
+            gain, links = True, links.unionByName(extra)
+            # Stars of the components so far stand for the links behind them.
+            stars = comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            comps = cut(connected_components(stars.unionByName(extra), "a", "b"), "components")
+        if whole:
             break
-        links, tried = links.unionByName(extra), tried.unionByName(new)
-        # Stars of the components so far stand for the links behind them.
-        stars = comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        comps = cut(connected_components(stars.unionByName(extra), "a", "b"), "components")
+        tried = tried.unionByName(new)
     return links, comps

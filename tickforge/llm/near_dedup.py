@@ -141,8 +141,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
 
     Documents are linked if their sets of n-word shingles share at least percent % of their union; component_id is
     the smallest id reachable. Documents with equal sets form one class and are compared once. Classes that share a
-    band bucket are compared by bucket_links, so that a large group of near copies costs a few comparisons per
-    member. Pairs are screened by their odd sketches and confirmed on their full sets. Null, empty and blank texts are linked with nothing and kept; null ids are left
+    band bucket are compared by bucket_links: a large group of near copies costs a few comparisons per member, and no
+    pair that shares a bucket stays open. Pairs are screened by their odd sketches and confirmed on their full sets. Null, empty and blank texts are linked with nothing and kept; null ids are left
     out; rows that repeat an id must repeat its text.
     """
     feats = cut(sketches(docs, n, text, doc_id), "sketches")
@@ -153,17 +153,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 60
     live = classes.where(F.col("n_shingles") >= least)
     buckets = live.select(F.explode("bands").alias("key"), F.col("rep").alias("id"))
-    odd = live.select("rep", "n_shingles", "odd")
-    _, comps = bucket_links(buckets, lambda p: _screen(p, odd, percent), lambda p: _confirm(p, docs, n, percent, text, doc_id))
+    features = live.select(F.col("rep").alias("id"), F.struct("n_shingles", "odd").alias("f"))
+    _, comps = bucket_links(buckets, features, lambda x, y: _may(x, y, percent), lambda p: _confirm(p, docs, n, percent, text, doc_id))
     home = classes.select(F.col("class_key").alias("_k"), "rep").join(comps, F.col("rep") == F.col("id"), "left").select("_k", F.coalesce("component", "rep").alias("component_id"))
     out = feats.select("doc_id", "n_shingles", "class_key").join(home, F.col("class_key") == F.col("_k"), "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def _screen(pairs: DataFrame, odd: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes allow the similarity and whose odd sketches don't rule it out."""
-    x = odd.select(F.col("rep").alias("a"), F.col("odd").alias("oa"), F.col("n_shingles").alias("na"))
-    y = odd.select(F.col("rep").alias("b"), F.col("odd").alias("ob"), F.col("n_shingles").alias("nb"))
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    return pairs.join(x, "a").join(y, "b").where(fits & (similarity_estimate("oa", "ob") >= percent / 100 - MARGIN)).select("a", "b")
+def _may(x: Column, y: Column, percent: int) -> Column:
+    """Whether sizes allow the similarity and odd sketches don't rule it out; x, y: structs (n_shingles, odd)."""
+    fits = 100 * F.least(x["n_shingles"], y["n_shingles"]) >= percent * F.greatest(x["n_shingles"], y["n_shingles"])
+    return fits & (similarity_estimate(x["odd"], y["odd"]) >= percent / 100 - MARGIN)
