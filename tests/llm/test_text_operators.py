@@ -122,6 +122,16 @@ def test_near_duplicates(spark, sf_dir, n):
     assert [(r["n_shingles"], r["component_id"], r["kept"]) for r in got] == [(len(s), find(i), find(i) == i) for i, s in enumerate(sets)]
 
 
+def test_sketch_of_repetitive_lines(spark):
+    # Few distinct shingles, many repeats: the sketch holds them all, whatever the number of repeats.
+    lines = [(k, n, f"{k}abc de{k} fghij kl{k}mn opq rstuvw " * n) for k in range(40) for n in (30, 200)]
+    d = line_dedup.with_sketch(spark.createDataFrame(lines, "k long, n long, norm string"))
+    assert d.where(F.size("sketch") < 6).count() == 0
+    texts = [x for k in range(20) for x in (lines[2 * k][2].strip(), lines[2 * k + 1][2].strip())]
+    got = [r["text"] for r in line_dedup.drop_repeated_lines(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    assert got == brute_lines(texts)
+
+
 @pytest.mark.parametrize("block", [1024, 32])
 def test_crowded_bucket_of_many_groups(spark, monkeypatch, block):
     # Two crowded buckets that overlap: one of 150 alike pairs, the other with 60 more; nothing else links them.
