@@ -132,6 +132,40 @@ def test_sketch_of_repetitive_lines(spark):
     assert got == brute_lines(texts)
 
 
+def alike_pairs(kind, n, rnd):
+    """n pairs of lines of a kind with a similarity of 0.80 to 0.85, made by single changed characters."""
+    grams = lambda x: {x[i : i + 5] for i in range(len(x) - 4)}
+    word = lambda a, z: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(a, z)))
+    out = []
+    while len(out) < n:
+        x = {
+            "token of 60": lambda: word(60, 60), "token of 300": lambda: word(300, 300), "3 to 5 long words": lambda: " ".join(word(12, 18) for _ in range(rnd.randint(3, 5))),
+            "12 to 25 words": lambda: " ".join(word(2, 9) for _ in range(rnd.randint(12, 25))), "40 to 150 words": lambda: " ".join(word(2, 9) for _ in range(rnd.randint(40, 150))),
+        }[kind]()
+        y, s = x, 1.0
+        while s > 0.85:
+            i = rnd.randrange(len(y))
+            y = y[:i] + rnd.choice("0123456789") + y[i + 1 :]
+            a, b = grams(x), grams(y)
+            s = len(a & b) / len(a | b)
+        if s >= 0.8:
+            out.append((x, y))
+    return out
+
+
+def missed(spark, pairs):
+    """Share of pairs without a common band, or dropped by the screen."""
+    d = spark.createDataFrame([(k, e, t) for k, p in enumerate(pairs) for e, t in enumerate(p)], "k long, e long, norm string")
+    d = common.cut(line_dedup.with_sketch(d), "sketches").select("k", "e", "sketch", line_dedup.band_keys().alias("keys"))
+    x, y = d.where("e = 0").select("k", F.col("sketch").alias("s1"), F.col("keys").alias("k1")), d.where("e = 1").select("k", F.col("sketch").alias("s2"), F.col("keys").alias("k2"))
+    return 1 - x.join(y, "k").where(F.arrays_overlap("k1", "k2") & line_dedup._may(F.col("s1"), F.col("s2"))).count() / len(pairs)
+
+
+@pytest.mark.parametrize("kind", ["token of 60", "token of 300", "3 to 5 long words", "12 to 25 words", "40 to 150 words"])
+def test_line_candidates_are_found(spark, kind):
+    assert missed(spark, alike_pairs(kind, 500, random.Random(3))) <= 0.005
+
+
 @pytest.mark.parametrize("block", [1024, 32])
 def test_crowded_bucket_of_many_groups(spark, monkeypatch, block):
     # Two crowded buckets that overlap: one of 150 alike pairs, the other with 60 more; nothing else links them.
