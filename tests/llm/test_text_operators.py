@@ -348,6 +348,24 @@ def test_attention_gradients_and_windows():
     assert np.allclose(a[:60], b[:60], atol=1e-4)
 
 
+def test_training_takes_every_subword_once(monkeypatch):
+    P = pytest.importorskip("public_tokenizers")
+    pd = pytest.importorskip("pandas")
+    monkeypatch.setattr(attention_lm, "SHUFFLE", 16)
+    table = attention_lm.SubwordTable(np.arange(50_257)[::-1], 50)
+    enc = attention_lm.CompactEncoder(attention_lm.encoder((P.path("byte_bpe_50k.tiktoken"), P.PATTERN)), table)
+    # Short documents, long words of many subwords, and none at all.
+    texts = ["one two three " * k for k in range(1, 30)] + ["Donaudampfschifffahrtsgesellschaft " * 40, "x" * 900, "", None]
+    want = Counter(i for t in texts for i in [x for w in (t or "").lower().encode().split() for x in enc[w][0]] + [table.end])
+    chunks = list(attention_lm._chunks(iter([pd.DataFrame({"_text": texts})]), enc))
+    seen = Counter(np.concatenate(chunks)[:, 1:].ravel().tolist())
+    del seen[attention_lm.PAD]
+    assert seen == want and max(map(len, chunks)) == 16
+    p = attention_lm.initial(table)
+    assert attention_lm.train_task(p, iter(chunks), 0)[1] == sum(map(len, chunks))
+    assert attention_lm.train_task(p, iter([]), 5)[1] == 0
+
+
 def test_lm_base_score(spark, sf_dir):
     P = pytest.importorskip("public_tokenizers")
     texts = ODD + [t for _, t in sample(spark, sf_dir, 80)]
