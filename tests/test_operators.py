@@ -63,6 +63,32 @@ def test_prefix_does_not_depend_on_blocks(spark, sf_dir):
     assert got[0] == got[1] == got[2]
 
 
+@pytest.mark.parametrize("unit", ["hour", "day", "year"])
+def test_asof_join_of_all_rows(spark, unit):
+    # All probes with all facts, with days without facts, probes before the first fact, and a symbol without any.
+    t0, rnd = datetime(2024, 1, 1), np.random.RandomState(4)
+    at = lambda m: t0 + timedelta(minutes=int(m))
+    facts = [(s, at(m), float(i)) for s in "ab" for i, m in enumerate(np.sort(rnd.choice(20_000, 60, replace=False)))]
+    probes = [(s, at(m), i) for s in "abc" for i, m in enumerate(rnd.choice(20_000, 200, replace=False))] + [("a", facts[5][1], 1000)]
+    f, p = spark.createDataFrame(facts, "symbol string, ts timestamp, v double"), spark.createDataFrame(probes, "symbol string, ts timestamp, n long")
+    got = {(r["symbol"], r["n"]): (r["fact_ts"], r["v"]) for r in series.asof_backward(p, f, ["v"], unit).collect()}
+    want = {(s, n): max(((x, v) for q, x, v in facts if q == s and x <= ts), default=(None, None)) for s, ts, n in probes}
+    assert got == want
+    pairs = series.time_band_join(p, f, 7200).select("symbol", "n", "r_v").collect()
+    near = [(s, n, v) for s, ts, n in probes for q, x, v in facts if q == s and abs((x - ts).total_seconds()) <= 7200]
+    assert sorted(map(tuple, pairs)) == sorted(near)
+
+
+def test_asof_join_spreads_a_symbol(spark):
+    p = spark.range(2000).selectExpr("'a' AS symbol", "timestamp_seconds(id * 3600) AS ts", "id AS n")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = series.asof_backward(p, p.select("symbol", "ts", F.col("n").alias("v")), ["v"])
+        assert out.where("v <> n").count() == 0 and out.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_decayed_sum(spark, sf_dir):
     t = ticks(spark, sf_dir)
     got = {(r["symbol"], r["trade_id"]): r["y"] for r in prefix.decayed_sum(t, F.col("quantity"), 0.9, "y").collect()}

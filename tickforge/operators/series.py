@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import dbl, ratio
-from ..plans.prefix import previous
+from ..plans.prefix import blocks, previous
 
 
 def over(order: str = "bucket") -> W:
@@ -188,12 +188,22 @@ def fractional_difference(c: DataFrame, d: float, threshold: float = 1e-3, colum
     return c.withColumn("_v", arr).withColumn("frac_diff", dbl(F.when(F.size("_v") == n, value))).drop("_v")
 
 
-def asof_backward(probes: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
-    """For each probe (symbol, ts) the facts' columns of the latest row at or before it: one sort of the union, no join."""
+def asof_backward(probes: DataFrame, facts: DataFrame, columns: list[str], unit: str = "day") -> DataFrame:
+    """For each probe (symbol, ts) the facts' columns of the latest row at or before it: one sort of the union.
+
+    The sort is within time blocks; a block's last fact is carried over to the blocks after it, so a symbol that holds
+    most rows is many tasks.
+    """
     f = facts.select("symbol", "ts", F.lit(0).alias("_k"), F.struct("ts", *columns).alias("_f"), *[F.lit(None).cast(t).alias(c) for c, t in probes.dtypes if c not in ("symbol", "ts")])
     p = probes.select("symbol", "ts", F.lit(1).alias("_k"), F.lit(None).cast(f.schema["_f"].dataType).alias("_f"), *[c for c in probes.columns if c not in ("symbol", "ts")])
-    w = W.partitionBy("symbol").orderBy("ts", "_k").rowsBetween(W.unboundedPreceding, 0)
-    d = f.unionByName(p).withColumn("_m", F.last("_f", ignorenulls=True).over(w)).where("_k = 1")
+    d = f.unionByName(p).withColumn("_blk", blocks("ts", unit))
+    w = W.partitionBy("symbol", "_blk").orderBy("ts", "_k").rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy("symbol").orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
+    carry = d.groupBy("symbol", "_blk").agg(F.max_by("_f", F.when(F.col("_k") == 0, F.col("ts"))).alias("_last"))
+    carry = carry.withColumn("_carry", F.last("_last", ignorenulls=True).over(before)).drop("_last")
+    same = d["symbol"].eqNullSafe(carry["symbol"]) & d["_blk"].eqNullSafe(carry["_blk"])
+    d = d.join(carry, same).select(d["*"], "_carry")
+    d = d.withColumn("_m", F.coalesce(F.last("_f", ignorenulls=True).over(w), "_carry")).where("_k = 1")
     return d.select(*probes.columns, F.col("_m.ts").alias("fact_ts"), *[F.col(f"_m.{c}").alias(c) for c in columns])
 
 
