@@ -386,6 +386,15 @@ def test_lm_base_score(spark, sf_dir):
     assert attention_lm.score(d.where("false"), train(F.col("_id")), (P.path("byte_bpe_50k.tiktoken"), P.PATTERN), rounds=1).count() == 0
 
 
+def test_lm_scores_of_null_ids(spark):
+    P = pytest.importorskip("public_tokenizers")
+    texts = ["the cat sat on the mat", "rare words here", "other unusual sentence entirely"]
+    d = spark.createDataFrame([(i if k else None, t) for k in (0, 1) for i, t in enumerate(texts)], "doc_id long, text string")
+    out = attention_lm.score(d, F.col("_id").isNotNull(), (P.path("byte_bpe_50k.tiktoken"), P.PATTERN), rounds=1, least_steps=2, head_words=2).collect()
+    part = lambda null: sorted((r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 4)) for r in out if (r["doc_id"] is None) == null)
+    assert len(out) == 6 and part(True) == part(False)
+
+
 def test_pipeline_stages(spark, sf_dir):
     import corpus_pipeline
 
