@@ -155,9 +155,10 @@ def bucket_links(buckets: DataFrame, features: DataFrame, may, confirm) -> tuple
         return pairs.join(x, "a").join(y, "b").where(may(F.col("fa"), F.col("fb"))).select("a", "b")
 
     sizes = buckets.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    member = cut(buckets.join(sizes, "key"), "members")
-    weight = member.groupBy("id").agg(F.sum("m").alias("w"))
-    member = cut(member.join(weight, "id"), "members")
+    plain = cut(buckets.join(sizes, "key"), "members")
+    weight = plain.groupBy("id").agg(F.sum("m").alias("w"))
+    member = cut(plain.join(weight, "id"), "members")
+    drop_cut(plain)
     one = F.struct("id", "comp")
     pairs = cut(screen(_star(member.withColumn("comp", F.col("id")), [F.min(one), F.max_by(one, F.struct("w", -F.col("id")))])), "pairs")
     links, tried = confirm(pairs), pairs
@@ -185,6 +186,7 @@ def bucket_links(buckets: DataFrame, features: DataFrame, may, confirm) -> tuple
                 new = new.unionByName(cross.select(F.least("i1", "id").alias("a"), F.greatest("i1", "id").alias("b"))).distinct()
             new = screen(new)
         new = cut(new.join(tried, ["a", "b"], "left_anti"), "pairs")
+        drop_cut(d)
         parts = -(-new.count() // CHUNK)
         gain = False
         for part in range(parts):
