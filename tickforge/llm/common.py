@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,18 +28,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see. Set here only where the session names none."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir, or else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Scratch tables of the scopes that are open, the innermost last.
+_scopes: list[list[DataFrame]] = []
+
+
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends here, and a lost executor loses nothing."""
     spark = df.sparkSession
@@ -46,21 +48,40 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
+    if _scopes:
+        _scopes[-1].append(out)
     return out
 
 
 def drop_cut(df: DataFrame) -> None:
     """Delete the files of a cut() result that nothing reads any more."""
-    path = getattr(df, "_scratch", None)
+    path, df._scratch = getattr(df, "_scratch", None), None
     if path:
         jvm = df.sparkSession._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
-def small_or_plain(df: DataFrame, max_rows: int) -> DataFrame:
-    """A broadcast hint on df if it has at most max_rows rows; otherwise df, for a shuffled join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+@contextlib.contextmanager
+def scratch() -> Iterator[list]:
+    """Deletes the cut() results made inside, but for those appended to the list, which belong to the scope around."""
+    _scopes.append([])
+    stay: list[DataFrame] = []
+    try:
+        yield stay
+    finally:
+        for df in _scopes.pop():
+            if not any(df is x for x in stay):
+                drop_cut(df)
+        if _scopes:
+            _scopes[-1].extend(x for x in stay if not any(x is y for y in _scopes[-1]))
+
+
+def small_or_plain(df: DataFrame, max_rows: int, weight: Column | None = None) -> DataFrame:
+    """A broadcast hint on df if its rows, or the sum of their weights, are at most max_rows; otherwise df, for a shuffled join."""
+    if weight is None:
+        return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if (df.agg(F.sum(weight)).first()[0] or 0) <= max_rows else df
 
 
 def _is_stars(edges: DataFrame) -> bool:
@@ -85,7 +106,7 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
@@ -100,10 +121,13 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
-#: In buckets of at most CROWD members every pair of different components is compared at once. In larger ones each
-#: member first meets a few representatives a round, for up to ROUNDS rounds while links are found; then every pair
-#: that is still open is compared, in blocks of BLOCK by BLOCK members, and CHUNK pairs are confirmed at a time.
-CROWD, ROUNDS, BLOCK, CHUNK = 48, 4, 1024, 2_000_000
+#: In buckets of at most SMALL members all pairs are compared at once; in larger ones each member first meets the
+#: weightiest one. What is open then is compared whole in buckets of at most CROWD members; in larger ones each member
+#: meets a few representatives of the other components, for ROUNDS rounds, and then every pair that is still open is
+#: compared, in blocks of BLOCK by BLOCK members; CHUNK pairs are confirmed at a time.
+SMALL, CROWD, ROUNDS, BLOCK, CHUNK = 8, 48, 1, 1024, 2_000_000
+#: Keys of shared buckets that are broadcast to find their members, at most.
+MAX_KEYS = 1_000_000
 
 
 def _star(member: DataFrame, picks: list) -> DataFrame:
@@ -137,58 +161,69 @@ def _all_pairs(open_: DataFrame, features: DataFrame, may) -> DataFrame:
     return pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct()
 
 
-def bucket_links(buckets: DataFrame, features: DataFrame, may, confirm) -> tuple[DataFrame, DataFrame]:
-    """(links, components) of ids that share a bucket; buckets: distinct (key, id); features: (id, f).
+def _cross(one: DataFrame, two: DataFrame, apart: Column) -> DataFrame:
+    """Pairs (a, b) of rows of one (key, i1, ..) and two (key, id, ..) with one key for which ``apart`` holds."""
+    return one.join(two, "key").where(apart).select(F.least("i1", "id").alias("a"), F.greatest("i1", "id").alias("b"))
+
+
+def bucket_links(buckets: DataFrame, features, may, confirm) -> tuple[DataFrame, DataFrame]:
+    """(links, components) of ids that share a bucket; buckets: distinct (key, id); features: (id, f), or a function
+    that makes them of the ids that share a bucket.
 
     may(f1, f2) is false for pairs that can't be alike, confirm(pairs) keeps those of pairs (a, b) that are.
-    First each member meets its bucket's smallest id and its weightiest one. The weight of an id is the sum of the
-    sizes of its buckets, so the text that a group of near copies was made from, which is in the fullest bucket of
-    every band, is found without comparing copies with each other. Then only buckets whose members still lie in
-    several components go on: see CROWD. No pair that shares a bucket stays open, so components are those of
-    comparing all of them; work is linear in the members that representatives link, and quadratic in a crowded
-    bucket's members that they don't.
+    First the pairs of small buckets are compared, and each member of a larger one with its weightiest member. The
+    weight of an id is the sum of the sizes of its buckets, so the text that a group of near copies was made from,
+    which is in the fullest bucket of every band, is found without comparing copies with each other. Then only buckets
+    whose members still lie in several components go on: see CROWD. No pair that shares a bucket stays open, so
+    components are those of comparing all of them; work is linear in the members that representatives link, and
+    quadratic in a crowded bucket's members that they don't.
     """
+    sizes = cut(buckets.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
+    member = cut(buckets.join(small_or_plain(sizes, MAX_KEYS), "key"), "members")
+    drop_cut(sizes)
+    if callable(features):
+        features = features(member)
 
     def screen(pairs: DataFrame) -> DataFrame:
         x = features.select(F.col("id").alias("a"), F.col("f").alias("fa"))
         y = features.select(F.col("id").alias("b"), F.col("f").alias("fb"))
         return pairs.join(x, "a").join(y, "b").where(may(F.col("fa"), F.col("fb"))).select("a", "b")
 
-    sizes = buckets.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    plain = cut(buckets.join(sizes, "key"), "members")
-    weight = plain.groupBy("id").agg(F.sum("m").alias("w"))
-    member = cut(plain.join(weight, "id"), "members")
-    drop_cut(plain)
-    one = F.struct("id", "comp")
-    pairs = cut(screen(_star(member.withColumn("comp", F.col("id")), [F.min(one), F.max_by(one, F.struct("w", -F.col("id")))])), "pairs")
+    weight = member.groupBy("id").agg(F.sum("m").alias("w"))
+    full = cut(member.where(F.col("m") > SMALL).join(weight, "id"), "members")
+    reps = full.groupBy("key").agg(F.max_by("id", F.struct("w", -F.col("id"))).alias("rep"))
+    star = full.join(reps, "key").where("id <> rep").select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b"))
+    few = member.where(F.col("m") <= SMALL).select("key", "id")
+    pairs = star.unionByName(_cross(few.withColumnRenamed("id", "i1"), few, F.col("i1") < F.col("id"))).distinct()
+    pairs = cut(screen(pairs), "pairs")
+    drop_cut(member)
     links, tried = confirm(pairs), pairs
     comps = cut(connected_components(links, "a", "b"), "components")
-    gain = True
+    one = F.struct("id", "comp")
     for turn in range(ROUNDS + 1):
-        d = member.join(comps.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c"), "left").select("key", "id", "m", "w", F.coalesce("component", "id").alias("comp"))
+        d = full.join(comps.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c"), "left").select("key", "id", "m", "w", F.coalesce("component", "id").alias("comp"))
         main = d.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("k"))
         d = cut(d.join(main.where("k > 1").select("key", F.col("top.comp").alias("main")), "key"), "open")
         big = d.where(F.col("m") > CROWD)
-        whole = turn == ROUNDS or not gain
-        if turn and not big.limit(1).count():
+        if not (big if turn else d).limit(1).count():
             break
+        whole = turn == ROUNDS
+        away = F.col("comp") != F.col("main")
         if whole:
             new = _all_pairs(big, features, may)
         else:
-            away = F.col("comp") != F.col("main")
-            toss = F.xxhash64("id", F.lit(turn))
-            new = _star(big, [F.min(F.when(away, one)), F.max_by(one, F.when(away, F.struct("w", -F.col("id")))), F.min_by(one, F.when(away, toss)), F.min_by(one, toss)])
+            toss = lambda k: F.xxhash64("id", F.lit(8 * turn + k))
+            picks = [F.max_by(one, F.when(away, F.struct("w", -F.col("id")))), *[F.min_by(one, F.when(away, toss(k))) for k in range(2)], *[F.min_by(one, F.when(~away, toss(k))) for k in range(2, 7)]]
+            new = _star(big, picks)
             if turn == 0:
-                small = d.where(F.col("m") <= CROWD)
-                x = small.where(away).select("key", F.col("id").alias("i1"), F.col("comp").alias("c1"))
-                once = ~away | (F.col("i1") < F.col("id"))
-                cross = x.join(small, "key").where((F.col("c1") != F.col("comp")) & once)
-                new = new.unionByName(cross.select(F.least("i1", "id").alias("a"), F.greatest("i1", "id").alias("b"))).distinct()
+                # In a bucket of two open members or more, those outside the main component meet all the others.
+                some = d.where(F.col("m") <= CROWD).withColumn("away", away)
+                x = some.where("away").select("key", F.col("id").alias("i1"), F.col("comp").alias("c1"))
+                new = new.unionByName(_cross(x, some, (F.col("c1") != F.col("comp")) & (~F.col("away") | (F.col("i1") < F.col("id"))))).distinct()
             new = screen(new)
         new = cut(new.join(tried, ["a", "b"], "left_anti"), "pairs")
         drop_cut(d)
         parts = -(-new.count() // CHUNK)
-        gain = False
         for part in range(parts):
             todo = new
             if parts > 1:
@@ -199,11 +234,9 @@ def bucket_links(buckets: DataFrame, features: DataFrame, may, confirm) -> tuple
             extra = confirm(todo)
             if not extra.limit(1).count():
                 continue
-            gain, links = True, links.unionByName(extra)
+            links = links.unionByName(extra)
             # Stars of the components so far stand for the links behind them.
             stars = comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
             comps = cut(connected_components(stars.unionByName(extra), "a", "b"), "components")
-        if whole:
-            break
         tried = tried.unionByName(new)
     return links, comps
