@@ -122,13 +122,16 @@ def test_near_duplicates(spark, sf_dir, n):
     assert [(r["n_shingles"], r["component_id"], r["kept"]) for r in got] == [(len(s), find(i), find(i) == i) for i, s in enumerate(sets)]
 
 
-def test_sketch_of_repetitive_lines(spark):
-    # Few distinct shingles, many repeats: the sketch holds them all, whatever the number of repeats.
-    lines = [(k, n, f"{k}abc de{k} fghij kl{k}mn opq rstuvw " * n) for k in range(40) for n in (30, 200)]
-    d = line_dedup.with_sketch(spark.createDataFrame(lines, "k long, n long, norm string"))
-    assert d.where(F.size("sketch") < 6).count() == 0
-    texts = [x for k in range(20) for x in (lines[2 * k][2].strip(), lines[2 * k + 1][2].strip())]
-    got = [r["text"] for r in line_dedup.drop_repeated_lines(docs_of(spark, texts)).orderBy("doc_id").collect()]
+def test_signatures_of_repetitive_lines(spark):
+    # Few distinct shingles, many repeats: the signature has all that a whole pass finds, whatever the number of repeats.
+    lines = [f"{k}abc de{k} fghij kl{k}mn opq rstuvw " * n for k in range(40) for n in (30, 200)]
+    texts = [lines[2 * k + e].strip() for k in range(20) for e in (0, 1)] + ["=" * 40, "=" * 400, "ab" * 90, "ab" * 700]
+    d = docs_of(spark, texts)
+    f = {r["id"]: sorted(r["f"]) for r in line_dedup.signatures(d, "text", "doc_id").where("w = 24").collect()}
+    h = {r["doc"]: r["h1"] for r in line_dedup.lines_of(d, "text", "doc_id").collect()}
+    whole = {r["id"]: sorted(r["f"]) for r in line_dedup._minima(line_dedup.lines_of(d, "text", "doc_id"), None, line_dedup.SLOTS).where("w = 24").collect()}
+    assert sum(len(set(f[h[i]]) ^ set(whole[h[i]])) for i in range(len(texts)) if h[i] in f) <= 2
+    got = [r["text"] for r in line_dedup.drop_repeated_lines(d).orderBy("doc_id").collect()]
     assert got == brute_lines(texts)
 
 
@@ -155,10 +158,14 @@ def alike_pairs(kind, n, rnd):
 
 def missed(spark, pairs):
     """Share of pairs without a common band, or dropped by the screen."""
-    d = spark.createDataFrame([(k, e, t) for k, p in enumerate(pairs) for e, t in enumerate(p)], "k long, e long, norm string")
-    d = common.cut(line_dedup.with_sketch(d), "sketches").select("k", "e", "sketch", line_dedup.band_keys().alias("keys"))
-    x, y = d.where("e = 0").select("k", F.col("sketch").alias("s1"), F.col("keys").alias("k1")), d.where("e = 1").select("k", F.col("sketch").alias("s2"), F.col("keys").alias("k2"))
-    return 1 - x.join(y, "k").where(F.arrays_overlap("k1", "k2") & line_dedup._may(F.col("s1"), F.col("s2"))).count() / len(pairs)
+    d = docs_of(spark, [t for p in pairs for t in p])
+    lines = line_dedup.lines_of(d, "text", "doc_id")
+    keys = line_dedup.signatures(d, "text", "doc_id").groupBy("id").agg(F.flatten(F.collect_list("f")).alias("keys"))
+    n = F.octet_length("norm")
+    cand = lines.select("doc", F.col("h1").alias("id"), "norm", F.col("norm").cast("binary").alias("bin"), line_dedup._varied(n).alias("varied"))
+    full = common.cut(cand.select("doc", "id").join(keys, "id").join(line_dedup._features(cand), "id"), "sketches")
+    x, y = (full.where(F.col("doc") % 2 == e).select(F.floor(F.col("doc") / 2).alias("k"), F.col("keys").alias(f"k{e}"), F.col("f").alias(f"f{e}")) for e in (0, 1))
+    return 1 - x.join(y, "k").where(F.arrays_overlap("k0", "k1") & line_dedup._may(F.col("f0"), F.col("f1"))).count() / len(pairs)
 
 
 @pytest.mark.parametrize("kind", ["token of 60", "token of 300", "3 to 5 long words", "12 to 25 words", "40 to 150 words"])
