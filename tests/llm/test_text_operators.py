@@ -213,6 +213,22 @@ def test_odd_sketch_estimates():
         assert abs(1 + 256 / 520 * math.log(1 - 2 * x / 256) - j) < 0.12
 
 
+def test_whole_set_sketches_lose_no_alike_pair(spark):
+    rnd = np.random.RandomState(4)
+    rows = []
+    for size in (20, 150, 600, 5000):
+        for j in (0.8, 0.6):
+            for _ in range(100):
+                k = int(size * (1 - j) / (1 + j))
+                u = rnd.randint(0, 1 << 62, size).astype(np.uint64)
+                v = u.copy()
+                v[:k] = rnd.randint(0, 1 << 62, k)
+                rows.append((size, j, near_dedup.signature(u)[2].tolist(), near_dedup.signature(v)[2].tolist()))
+    d = spark.createDataFrame(rows, "n long, j double, x array<long>, y array<long>")
+    got = {(r["n"], r["j"]): r["ok"] for r in d.groupBy("n", "j").agg(F.count_if(near_dedup.may_differ_by(F.col("n") * (2 / 9), "x", "y")).alias("ok")).collect()}
+    assert all(got[n, 0.8] == 100 for n in (20, 150, 600, 5000)) and got[150, 0.6] == 0 and got[600, 0.6] < 20
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 102), (100, 102), (7, 7), (200, 150)]
     got = {r["id"]: r["component"] for r in common.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
