@@ -8,10 +8,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, small_or_plain
 
 CRLF = "\r\n"
 #: Payloads of fewer bytes are always stored, never revisited.
@@ -49,17 +50,22 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     Of pages with equal payloads of MIN_REVISIT_BYTES or more, the one with the largest page_id is the response; the
     others are revisit records that refer to it and hold no payload. Payloads are grouped by digest and length in a
     small aggregate that is joined back, so no group of copies is ever gathered. A null html is an empty payload; a
-    null url leaves its header out; a null page_id never serves as a response for others. Files hold about ARCHIVE_BYTES.
+    null url leaves its header out; a null page_id never serves as a response for others. Rows that repeat page_id and
+    html are written each, under record ids of their own. An empty table writes empty archives; other columns are not
+    read. Files hold about ARCHIVE_BYTES.
     """
     p = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     p = p.withColumn("n", F.octet_length("html").cast("long")).withColumn("digest", F.sha1(F.col("html").cast("binary")))
-    groups = p.where((F.col("n") >= MIN_REVISIT_BYTES) & F.col("page_id").isNotNull()).groupBy("digest", "n").agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies"))
-    total = p.agg(F.count("*").alias("rows"), F.sum("n").alias("bytes")).first()
+    seen = cut(p.groupBy("page_id", "digest", "n").agg(F.count("*").alias("rows")), "warc")
+    groups = seen.where((F.col("n") >= MIN_REVISIT_BYTES) & F.col("page_id").isNotNull()).groupBy("digest", "n").agg(F.max("page_id").alias("keeper"), F.sum("rows").alias("copies"))
+    total = seen.agg(F.sum("rows").alias("rows"), F.sum(F.col("n") * F.col("rows")).alias("bytes")).first()
     groups = cut(groups.where("copies > 1").drop("copies"), "warc").withColumnsRenamed({"digest": "_d", "n": "_n"})
+    p = _numbered(p, seen)
     p = p.join(groups, (F.col("digest") == F.col("_d")) & (F.col("n") == F.col("_n")), "left").drop("_d", "_n")
     again = F.col("keeper").isNotNull() & (F.col("page_id") < F.col("keeper"))
-    own, kept = _urn("response", F.col("page_id"), F.col("digest")), _urn("response", F.col("keeper"), F.col("digest"))
-    main_id = F.when(again, _urn("revisit", F.col("page_id"), F.col("digest"))).otherwise(own)
+    urn = lambda kind: _urn(kind, F.col("page_id"), F.col("digest"), F.col("_k"))
+    kept = _urn("response", F.col("keeper"), F.col("digest"), F.lit("0"))
+    main_id = F.when(again, urn("revisit")).otherwise(urn("response"))
     http = F.concat(F.lit("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF), _header("Content-Length", F.col("n")), F.lit(CRLF))
     common = [_header("WARC-Target-URI", F.col("url")), F.lit(f"WARC-Date: {date}{CRLF}")]
     main = _record(
@@ -74,18 +80,33 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     host, target = (F.regexp_extract("url", r, 1) for r in (r"^[a-zA-Z]+://([^/\s]*)", r"^[a-zA-Z]+://[^/\s]*(/\S*)"))
     target = F.when(F.coalesce(target, F.lit("")) == "", F.lit("/")).otherwise(target)
     request = _record(
-        [F.lit("WARC-Type: request" + CRLF), _header("WARC-Record-ID", _urn("request", F.col("page_id"), F.col("digest"))), *common, _header("WARC-Concurrent-To", main_id), F.lit("Content-Type: application/http; msgtype=request" + CRLF)],
+        [F.lit("WARC-Type: request" + CRLF), _header("WARC-Record-ID", urn("request")), *common, _header("WARC-Concurrent-To", main_id), F.lit("Content-Type: application/http; msgtype=request" + CRLF)],
         F.concat(F.lit("GET "), target, F.lit(" HTTP/1.1" + CRLF), _header("Host", host), F.lit(CRLF)),
     )
     metadata = _record(
-        [F.lit("WARC-Type: metadata" + CRLF), _header("WARC-Record-ID", _urn("metadata", F.col("page_id"), F.col("digest"))), *common, _header("WARC-Concurrent-To", main_id), F.lit("Content-Type: application/warc-fields" + CRLF)],
+        [F.lit("WARC-Type: metadata" + CRLF), _header("WARC-Record-ID", urn("metadata")), *common, _header("WARC-Concurrent-To", main_id), F.lit("Content-Type: application/warc-fields" + CRLF)],
         _header("page-id", F.col("page_id")),
     )
     gap = F.lit(CRLF + CRLF)
-    per_file = max(1, int(ARCHIVE_BYTES / max(1.0, (total["bytes"] or 0) / max(1, total["rows"]))))
+    per_file = max(1, int(ARCHIVE_BYTES / max(1.0, (total["bytes"] or 0) / max(1, total["rows"] or 0))))
     p.select(F.concat(request, gap, main, gap, metadata).alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", compression).option("maxRecordsPerFile", per_file).text(path)
 
 
+def _numbered(p: DataFrame, seen: DataFrame) -> DataFrame:
+    """p with _k, which tells rows of equal page_id and digest apart: 0 for the first one, and random for null ids.
+
+    Only repeated rows are shuffled to be numbered.
+    """
+    twice = seen.where("rows > 1 and page_id is not null").select(F.col("page_id").alias("_p"), F.col("digest").alias("_g"))
+    same = (F.col("page_id") == F.col("_p")) & (F.col("digest") == F.col("_g"))
+    one = F.when(F.col("page_id").isNull(), F.expr("uuid()")).otherwise(F.lit("0"))
+    if not twice.limit(1).count():
+        return p.withColumn("_k", one)
+    twice = small_or_plain(twice, 1_000_000)
+    more = p.join(twice, same, "left_semi").withColumn("_k", (F.row_number().over(W.partitionBy("page_id", "digest").orderBy("n")) - 1).cast("string"))
+    return p.join(twice, same, "left_anti").withColumn("_k", one).unionByName(more)
+
+
 class _Stream:
     """Reads a plain or gzip-compressed archive (one member or many) piece by piece."""
 
@@ -185,7 +206,8 @@ def assemble(records: DataFrame) -> DataFrame:
 
     Records belong to the record that their WARC-Concurrent-To names, and it to itself, so captures may be centred
     on the response or on the request. main is the response or revisit. Of several requests or metadata records the
-    largest by id stays; a capture without a response has a null main. Repeated records are merged.
+    largest by id stays; a capture without a response has a null main. Records that repeat a record id are merged; an
+    empty input gives an empty result.
     """
     row = F.struct("record_id", "warc_type", "target_uri", "warc_date", "refers_to", "payload_digest", "payload_bytes", "fields", "payload")
     of = lambda *kinds: F.max(F.when(F.col("warc_type").isin(*kinds), row))
