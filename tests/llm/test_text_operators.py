@@ -435,3 +435,35 @@ def test_pipeline_stages(spark, sf_dir):
         elif name != "mixing":
             assert all(x[i] == t for i, t in y.items())
         before = after
+
+
+CLASHES = ["doc", "pos", "removed", "passes", "below", "room", "host_rejected", "failed", "id", "key", "h1", "norm", "rep", "f", "w", "n_lines", "n_removed", "size"]
+
+
+def test_clashing_columns_and_empty_tables(spark, sf_dir):
+    d = common.table(spark, sf_dir, "documents").limit(120)
+    more = d.withColumns({c: F.lit("clash") for c in CLASHES})
+    bench = common.table(spark, sf_dir, "benchmark")
+    for op in (
+        quality_rules.judge, quality_rules.keep_good, line_dedup.drop_repeated_lines, near_dedup.near_duplicates, mixing.mix, lambda x: decontaminate.scan_documents(x, bench),
+        lambda x: decontaminate.scan_documents(x, bench, max_items_bytes=1),
+    ):
+        plain, odd = op(d), op(more)
+        cols = [c for c in plain.columns if c not in CLASHES or c in ("n_lines", "n_removed", "failed", "host_rejected")]
+        rows = lambda x: sorted(map(repr, x.select(cols).collect()))
+        assert rows(plain) == rows(odd)
+        assert op(more.where("false")).count() == 0
+
+
+def test_warc_repeated_rows_and_null_ids(spark, tmp_path):
+    big = "x" * 2000
+    rows = [(1, "u", big), (1, "u", big), (2, "u", big), (2, "u", big), (None, "u", big), (None, "u", big), (None, "u", "s"), (None, "u", "s"), (3, "u", None), (3, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_k", F.lit("clash"))
+    path = f"file://{tmp_path}/warc"
+    warc.write_archives(pages, path)
+    got = warc.capture_digests(warc.assemble(warc.read_records(spark, path))).collect()
+    kinds = Counter((r["page_id"], r["record_type"], r["payload_bytes"], r["refers_to"]) for r in got)
+    assert kinds == {(1, "revisit", 2000, 2): 2, (2, "response", 2000, None): 2, (None, "response", 2000, None): 2, (None, "response", 1, None): 2, (3, "response", 0, None): 2}
+    empty = f"file://{tmp_path}/empty"
+    warc.write_archives(pages.where("false"), empty)
+    assert warc.assemble(warc.read_records(spark, empty)).count() == 0

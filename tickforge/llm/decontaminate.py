@@ -84,13 +84,13 @@ class WindowIndex:
         return hit, items
 
 
-def scan_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 13, percent: int = 5, max_items_bytes: int = 64 << 20, clean_spans: bool = False) -> DataFrame:
+def scan_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 13, percent: int = 5, max_items_bytes: int = 4 << 20, clean_spans: bool = False) -> DataFrame:
     """Adds n_words, n_hit, n_items, items_sha256, contaminated (and clean_text with clean_spans) to docs.
 
     A window is n consecutive words of an item (all of them in a shorter item); a document word inside any
     occurrence of a window is hit; contaminated means n_hit > 0 and n_hit >= percent of the words. The window set is
-    broadcast: the benchmark's text is measured first, and beyond max_items_bytes the windows are joined by shuffles
-    instead (scan_by_join, same result). Null and empty texts have no words and no hits; null items are
+    broadcast: the benchmark's text is measured first, and beyond max_items_bytes (the index takes about 56 times as
+    much memory, in each Python worker) the windows are joined by shuffles instead (scan_by_join, same result). Null and empty texts have no words and no hits; null items are
     skipped; an empty benchmark contaminates nothing. clean_text is the text without the hit words' spans.
     """
     spark = docs.sparkSession

@@ -96,7 +96,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut(source_targets(sizes, weights, share, repeat), "mix")
     cuts = thresholds(slim, targets)
-    plan = targets.join(cuts.withColumnRenamed("source", "_c"), F.col("source").eqNullSafe(F.col("_c"))).select(F.col("source").alias("_src"), "source_size", "target", "passes", "below")
+    plan = targets.join(cuts.withColumnRenamed("source", "_c"), F.col("source").eqNullSafe(F.col("_c"))).select(F.col("source").alias("_src"), "source_size", "target", F.col("passes").alias("_passes"), F.col("below").alias("_below"))
     plan = small_or_plain(cut(plan, "mix"), max_broadcast)
-    copies = F.col("passes") + F.when((F.col("_h") < F.col("below")) & (F.col("passes") < repeat), 1).otherwise(0)
-    return sized.join(plan, sized[source].eqNullSafe(F.col("_src"))).withColumn("copies", copies.cast("long")).drop("_src", "_h", "passes", "below")
+    copies = F.col("_passes") + F.when((F.col("_h") < F.col("_below")) & (F.col("_passes") < repeat), 1).otherwise(0)
+    return sized.join(plan, sized[source].eqNullSafe(F.col("_src"))).withColumn("copies", copies.cast("long")).drop("_src", "_h", "_passes", "_below")

@@ -84,7 +84,8 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", keep: tuple
     """One row per document: ``keep``, host, COUNTS, base_failed, failed, shrunk_rate, host_rejected, kept.
 
     A document is kept if it fails no rule and its host's shrunk failure rate is at most max_rate. The texts are
-    read once; only the counts are grouped and joined. Null and empty texts fail; repeated rows are judged each.
+    read once; only the counts are grouped and joined. Null and empty texts fail, very long ones are counted whole;
+    repeated rows are judged each; an empty table gives an empty result; columns other than keep, host and text are not read.
     """
     keep = tuple(c for c in keep if c != host)
     counts = rule_counts(docs, text, (*keep, host)).withColumn("base_failed", base_failed()).withColumn("failed", rule_failed())
@@ -98,14 +99,15 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source", max_rat
     """The rows of docs that judge() keeps, with docs' columns.
 
     Two passes over the texts instead of a shuffle of them: the first sums failures by host, the second applies the
-    rules and the joined host verdicts row by row.
+    rules and the joined host verdicts row by row. Null and empty texts fail and go; a null host is a host of its own;
+    repeated rows are judged each; an empty table gives an empty result; extra columns pass through, whatever their names.
     """
     first = cut(rule_counts(docs, text, (host,)).select(host, rule_failed().alias("failed")).groupBy(host, "failed").count(), "hosts")
     counts = first.groupBy(host).agg(F.sum("count").alias("n_docs"), F.sum(F.when(F.col("failed"), F.col("count")).otherwise(0)).alias("n_failed"))
-    verdicts = _verdicts_of(counts, max_rate).select(F.col(host).alias("_host"), "host_rejected")
+    verdicts = _verdicts_of(counts, max_rate).select(F.col(host).alias("_host"), F.col("host_rejected").alias("_rejected"))
     row = F.struct(*[F.col(c) for c in docs.columns])
     # The verdict passes through a generator: a plain filter would be pushed down and evaluate the counts many times.
     judged = rule_counts(docs.withColumn("_row", row), text, ("_row",)).select(F.explode(F.array(F.struct("_row", rule_failed().alias("failed")))).alias("_x"))
     again = judged.where("not _x.failed").select("_x._row.*")
     good = again.join(small_or_plain(verdicts, max_broadcast), F.col(host).eqNullSafe(F.col("_host")), "left")
-    return good.where(~F.col("host_rejected")).select(*docs.columns)
+    return good.where(~F.col("_rejected")).select(*docs.columns)
