@@ -346,11 +346,48 @@ def test_language_id_held_out(spark, sf_dir):
     assert language_id.predict(d, language_id.train(d.where("false"))).where("lang_pred <> 'und'").count() == 0
 
 
+def plain_model(p, ids):
+    """Log probabilities of one document's ids and of word starts, place by place, from full softmaxes."""
+    A = attention_lm
+    logs, begin = [], []
+    for t, y in enumerate(ids):
+        first = max(0, t // A.STRIDE * A.STRIDE - (A.WINDOW - A.STRIDE))
+        inp = [A.BOS if j == 0 else ids[j - 1] for j in range(first, t + 1)]
+        x = p["E"][inp]
+        q = x[-1] @ p["q"]
+        a = np.array([q @ (v @ p["k"]) / A.KEY**0.5 + p["r"][len(inp) - 1 - j] for j, v in enumerate(x)])
+        a = np.exp(a) / np.exp(a).sum()
+        h = x[-1] + (a @ (x @ p["v"])) @ p["o"]
+        soft = lambda z: np.exp(z) / np.exp(z).sum()
+        c = soft(h @ p["c"] + p["cb"])
+        member = [soft(h @ p["m"][k] + p["mb"][k]) if k not in A.RARE_CLASSES else np.eye(A.MEMBERS)[0] for k in range(A.CLASSES)]
+        full = np.concatenate([c[k] * member[k] for k in range(A.CLASSES)])
+        assert abs(full.sum() - 1) < 1e-9
+        logs.append(np.log(full[y]))
+        begin.append(np.log(full[: A.HALF * A.MEMBERS].sum()))
+    return np.array(logs), np.array(begin)
+
+
+def some_table():
+    r = np.random.RandomState(0)
+    return attention_lm.SubwordTable(r.randint(0, 1000, 3000), 50, r.rand(3000) < 0.5)
+
+
+def test_scores_agree_with_a_plain_forward_pass():
+    t = some_table()
+    r = np.random.RandomState(5)
+    p = {k: (v + r.randn(*v.shape) * 0.2).astype(float) for k, v in attention_lm.initial(t).items()}
+    docs = [np.append(t.compact[r.randint(0, 3000, n)], t.end) for n in (0, 1, 23, 24, 25, 90)]
+    logs, begin = attention_lm.token_scores(p, docs)
+    want = [plain_model(p, d.tolist()) for d in docs]
+    assert np.allclose(logs, np.concatenate([w[0] for w in want]), atol=1e-4) and np.allclose(begin, np.concatenate([w[1] for w in want]), atol=1e-4)
+
+
 def test_attention_gradients_and_windows():
-    t = attention_lm.SubwordTable(np.random.RandomState(0).randint(0, 1000, 3000), 50)
+    t = some_table()
     p = {k: v.astype(float) for k, v in attention_lm.initial(t).items()}
     r = np.random.RandomState(1)
-    rows = r.randint(0, attention_lm.HEAD + 1, (4, 33))
+    rows = t.compact[r.randint(0, 3000, (4, 33))]
     rows[0, 20:], rows[1, 0] = attention_lm.PAD, attention_lm.BOS
     g, _ = attention_lm.gradients(p, rows[:, :-1], rows[:, 1:])
     for k in p:
@@ -360,14 +397,14 @@ def test_attention_gradients_and_windows():
         up = attention_lm.gradients(q, rows[:, :-1], rows[:, 1:])[1]
         q[k][i] -= 2e-5
         assert abs((up - attention_lm.gradients(q, rows[:, :-1], rows[:, 1:])[1]) / 2e-5 - g[k][i]) < 1e-5
-    docs = [np.arange(n, dtype=np.int32) % 900 for n in (1, 24, 25, 100)]
+    docs = [np.arange(n, dtype=np.int32) % 400 for n in (1, 24, 25, 100)]
     inp, target, doc = attention_lm.windows_of(docs)
     for i, d in enumerate(docs):
         seen = target[doc == i]
         assert seen[seen != attention_lm.PAD].tolist() == d.tolist()
     # Later tokens never change the score of earlier ones.
-    a = attention_lm.token_scores(attention_lm.initial(t), [docs[3]])
-    b = attention_lm.token_scores(attention_lm.initial(t), [np.concatenate([docs[3][:60], docs[3][:40][::-1]])])
+    a = attention_lm.token_scores(attention_lm.initial(t), [docs[3]])[0]
+    b = attention_lm.token_scores(attention_lm.initial(t), [np.concatenate([docs[3][:60], docs[3][:40][::-1]])])[0]
     assert np.allclose(a[:60], b[:60], atol=1e-4)
 
 
@@ -375,8 +412,9 @@ def test_training_takes_every_subword_once(monkeypatch):
     P = pytest.importorskip("public_tokenizers")
     pd = pytest.importorskip("pandas")
     monkeypatch.setattr(attention_lm, "SHUFFLE", 16)
-    table = attention_lm.SubwordTable(np.arange(50_257)[::-1], 50)
-    enc = attention_lm.CompactEncoder(attention_lm.encoder((P.path("byte_bpe_50k.tiktoken"), P.PATTERN)), table)
+    source = attention_lm.encoder((P.path("byte_bpe_50k.tiktoken"), P.PATTERN))
+    table = attention_lm.SubwordTable(np.arange(source.size)[::-1], 50, source.starts)
+    enc = attention_lm.CompactEncoder(source, table)
     # Short documents, long words of many subwords, and none at all.
     texts = ["one two three " * k for k in range(1, 30)] + ["Donaudampfschifffahrtsgesellschaft " * 40, "x" * 900, "", None]
     want = Counter(i for t in texts for i in [x for w in (t or "").lower().encode().split() for x in enc[w][0]] + [table.end])
@@ -406,6 +444,8 @@ def test_lm_base_score(spark, sf_dir):
         want = sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w) + math.log10((ends + 0.5) / (n + 0.5 * (v + 1)))
         assert abs(want - r["base_score"]) < 1e-6 and (r["n_tokens"], r["train_tokens"]) == (len(w) + 1, n)
         assert r["n_known"] == sum(c[x] > 0 for x in w) + 1 and -1e9 < r["score"] < 0
+        # Half of either part is in the mixture.
+        assert r["score"] >= r["attention_score"] - 0.30103 * r["n_tokens"] - 1e-6
     assert attention_lm.score(d.where("false"), train(F.col("_id")), (P.path("byte_bpe_50k.tiktoken"), P.PATTERN), rounds=1).count() == 0
 
 
