@@ -77,6 +77,16 @@ def forward_backward(unary: np.ndarray, trans: np.ndarray, lengths: np.ndarray):
     return np.exp(np.minimum(alpha + beta - z[:, None, None], 0)), pairs, z
 
 
+def _batches(order: list[int], lens: list[int], rows: int = 256, cells: int = 1 << 16) -> list[list[int]]:
+    """Runs of documents in order of length: at most ``rows`` of them and ``cells`` lines when padded, or one document."""
+    out: list[list[int]] = []
+    for i in order:
+        if not out or len(out[-1]) == rows or (len(out[-1]) + 1) * lens[i] > cells:
+            out.append([])
+        out[-1].append(i)
+    return out
+
+
 class LineCRF:
     """Two states (bad 0, good 1), linear unary scores and a transition matrix, fitted by Adam on the likelihood."""
 
@@ -96,8 +106,7 @@ class LineCRF:
         self.mean[-1], self.scale[-1] = 0, 1
         order = sorted(range(len(docs)), key=lambda i: len(docs[i]))
         groups = []
-        for start in range(0, len(order), 256):
-            ids = order[start : start + 256]
+        for ids in _batches(order, [len(x) for x in docs]):
             lens = np.array([len(docs[i]) for i in ids])
             x = np.zeros((len(ids), lens.max(), flat.shape[1]))
             for r, i in enumerate(ids):
@@ -155,10 +164,12 @@ def _platt(raw: np.ndarray, y: np.ndarray, l2: float = 1e-2) -> tuple[float, flo
 def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", doc_id: str = "doc_id", label: str = "quality", max_docs: int = MAX_TRAINING_DOCS) -> LineCRF:
     """Fit on at most max_docs labelled documents for which ``usable(id column)`` holds; features are computed in the tasks.
 
-    The sample is bounded by max_docs rows and ordered by the MD5 of the id, so reruns agree. Null labels don't count.
+    The sample is bounded by max_docs rows and ordered by the MD5 of the id, so reruns agree. Null labels don't count, nor do documents
+    of both labels; null ids are left out; without usable labels the model scores every text 0.5.
     """
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).where("_y in (0, 1) and _id is not null")
-    picked = known.where(usable(F.col("_id"))).dropDuplicates(["_id"]).orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(max_docs)
+    one = known.where(usable(F.col("_id"))).groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_z")).where("_y = _z").drop("_z")
+    picked = one.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(max_docs)
     rows = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,7 +183,11 @@ def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", doc_id
 
 
 def score(docs: DataFrame, model: LineCRF, text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """Adds score (0 to 1) and predicted (score >= threshold) to every row; whole texts, one document at a time."""
+    """Adds score (0 to 1) and predicted (score >= threshold) to every row; whole texts, one document at a time.
+
+    Null and empty texts are one empty line and have a score too; repeated rows score alike; other columns pass
+    through, but for score and predicted, which are replaced; an empty table gives an empty result.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
