@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import dbl, ratio
-from ..plans.prefix import blocks, previous
+from ..plans.prefix import blocks, previous, running_total
 
 
 def over(order: str = "bucket") -> W:
@@ -40,9 +40,13 @@ def top_gaps(g: DataFrame, n: int, per_symbol: bool = False) -> DataFrame:
     return g.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= n).drop("_k")
 
 
-def islands(ticks: DataFrame, gap: str = "1 hour") -> DataFrame:
-    """Stretches of data without a gap of more than ``gap``: session windows, so nothing is sorted in one task."""
-    return ticks.groupBy("symbol", F.session_window("ts", gap)).agg(F.min("ts").alias("island_start"), F.max("ts").alias("island_end"), F.count("*").alias("n")).select("symbol", "island_start", "island_end", "n")
+def islands(ticks: DataFrame, gap: str = "1 hour", unit: str = "day") -> DataFrame:
+    """Stretches of data without a gap of ``gap`` or more. Island numbers are running sums of flags in time blocks, so
+    a symbol that holds most rows is many tasks."""
+    d = previous(ticks.select("symbol", "ts", "trade_id"), {"ts": "_p"}, unit=unit)
+    opens = F.when(F.col("_p").isNull() | (F.col("_p") + F.expr(f"interval {gap}") <= F.col("ts")), 1).otherwise(0).cast("long")
+    d = running_total(d, opens, "_island", unit=unit)
+    return d.groupBy("symbol", "_island").agg(F.min("ts").alias("island_start"), F.max("ts").alias("island_end"), F.count("*").alias("n")).drop("_island")
 
 
 def missing_ranges(islands_: DataFrame, start, end, min_hours: float = 0.1) -> DataFrame:
@@ -139,13 +143,25 @@ def trip_summary(trips: DataFrame) -> DataFrame:
     return trips.groupBy("symbol").agg(F.count("*").alias("n"), dbl(F.sum("pnl_pct")).alias("total_pct"), dbl(F.avg("pnl_pct")).alias("avg_pct"), dbl(F.count_if(F.col("pnl") > 0) * 100 / F.count("*")).alias("win_rate"), F.max("pnl").alias("best"), F.min("pnl").alias("worst"))
 
 
+def trade_costs(trips: DataFrame, slippage: float = 0.001) -> DataFrame:
+    """Round trips with entries that cost ``slippage`` more and exits that bring so much less: net P&L and %."""
+    buy, sell = F.col("entry_price") * (1 + slippage), F.col("exit_price") * (1 - slippage)
+    d = trips.withColumn("net_entry", dbl(buy)).withColumn("net_exit", dbl(sell)).withColumn("net_pnl", dbl(sell - buy))
+    return d.withColumn("net_pct", dbl(F.try_divide(sell - buy, buy) * 100))
+
+
 def performance(equity: DataFrame, per_year: float = 365.0) -> DataFrame:
-    """Total return, volatility, Sharpe, maximum drawdown of an equity curve (symbol, bucket, close)."""
+    """Total return, volatility, Sharpe, Sortino, Calmar and maximum drawdown of an equity curve (symbol, bucket, close).
+
+    Sortino divides by the deviation of the negative returns, Calmar the mean return of a year by the worst drawdown.
+    """
     d = drawdown(equity)
-    r = F.col("pct_change")
+    r, year = F.col("pct_change"), F.lit(per_year)
+    down = F.stddev_samp(F.when(r < 0, r))
     return d.groupBy("symbol").agg(
-        dbl(ratio(F.max_by(x("close"), "bucket"), F.min_by(x("close"), "bucket")) - 1, 4).alias("total_return"), dbl(F.stddev_samp(r) * F.sqrt(F.lit(per_year)), 4).alias("volatility"),
-        dbl(F.try_divide(F.avg(r), F.stddev_samp(r)) * F.sqrt(F.lit(per_year)), 4).alias("sharpe"), dbl(F.min("drawdown"), 4).alias("max_drawdown"),
+        dbl(ratio(F.max_by(x("close"), "bucket"), F.min_by(x("close"), "bucket")) - 1, 4).alias("total_return"), dbl(F.stddev_samp(r) * F.sqrt(year), 4).alias("volatility"),
+        dbl(F.try_divide(F.avg(r), F.stddev_samp(r)) * F.sqrt(year), 4).alias("sharpe"), dbl(F.min("drawdown"), 4).alias("max_drawdown"),
+        dbl(F.try_divide(F.avg(r), down) * F.sqrt(year), 4).alias("sortino"), dbl(F.try_divide(F.avg(r) * year, F.abs(F.min("drawdown"))), 4).alias("calmar"),
     )
 
 
@@ -218,3 +234,22 @@ def time_band_join(left: DataFrame, right: DataFrame, seconds: int) -> DataFrame
 
 def compare(parts: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [d.withColumn("kind", F.lit(k)) for k, d in parts.items()])
+
+
+def align(parts: dict[str, DataFrame], column: str, keys: tuple = ("symbol", "bucket")) -> DataFrame:
+    """Outer alignment of series on their keys: one row per key, one column per part, null where a part has no row.
+
+    A union and one aggregate instead of a chain of full joins: one shuffle, whatever the number of series.
+    """
+    rows = [d.select(*keys, F.lit(n).alias("_n"), F.col(column).alias("_v")) for n, d in parts.items()]
+    one = reduce(DataFrame.unionByName, rows)
+    return one.groupBy(*keys).agg(*[F.max(F.when(F.col("_n") == n, F.col("_v"))).alias(n) for n in parts])
+
+
+def fractional_study(c: DataFrame, orders: tuple = (0.2, 0.3, 0.4), threshold: float = 1e-2) -> DataFrame:
+    """Moments of the fractional differences of some orders and of the plain returns, one row per symbol and series."""
+    from .stats import moments
+
+    parts = [moments(fractional_difference(c, d, threshold).where("frac_diff is not null"), "frac_diff").withColumn("series", F.lit(f"d={d}")) for d in orders]
+    plain = moments(returns(c).where("pct_change is not null"), "pct_change").withColumn("series", F.lit("returns"))
+    return reduce(DataFrame.unionByName, [*parts, plain])

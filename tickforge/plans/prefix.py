@@ -7,6 +7,8 @@ plain window's exactly as long as the measure is exact (integers, decimals).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,21 +47,22 @@ def previous(df: DataFrame, columns: dict[str, str], key: str = "symbol", order:
 
 
 def decayed_sum(df: DataFrame, measure: Column, decay: float, out: str, key: str = "symbol", order: tuple = ("ts", "trade_id"), unit: str = "day") -> DataFrame:
-    """Adds y_t = decay * y_{t-1} + measure_t per key.
+    """Adds y_t = decay * y_{t-1} + measure_t per key, for 0 < decay < 1.
 
-    Inside a block y is a running sum of measure / decay^i, scaled back; the value carried over from the block before
-    decays by one factor a row. Blocks should have at most a few thousand rows a key, or the powers leave the range
-    of doubles: choose a finer unit for dense symbols.
+    Rows are numbered by two-level prefixes and cut into runs of equal length, short enough for decay ** length to
+    stay a double however dense a symbol is. Inside a run y is a running sum of measure / decay ** i, scaled back. The
+    runs before are folded as far back as they still count in a double: a bounded halo of one row a run.
     """
-    d = df.withColumn("_m", F.coalesce(measure.cast("double"), F.lit(0.0))).withColumn("_blk", blocks(order[0], unit))
-    inner = W.partitionBy(key, "_blk").orderBy(*order)
-    d = d.withColumn("_i", F.row_number().over(inner)).withColumn("_n", F.count("*").over(W.partitionBy(key, "_blk")))
-    d = d.withColumn("_y", F.sum(F.col("_m") * F.pow(F.lit(decay), F.col("_n") - F.col("_i"))).over(inner.rowsBetween(W.unboundedPreceding, 0)))
-    ends = d.where("_i = _n").select(key, "_blk", F.col("_n").alias("n"), F.col("_y").alias("b"))
-    by_block = W.partitionBy(key).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
-    # Blocks compose: carry_k = decay^{n_k} carry_{k-1} + b_k, folded over the few blocks of a key.
-    step = lambda s, x: s * F.pow(F.lit(decay), x["n"]) + x["b"]
-    ends = ends.withColumn("_carry", F.aggregate(F.collect_list(F.struct("n", "b")).over(by_block), F.lit(0.0), step)).select(key, "_blk", "_carry")
-    d = d.join(ends, [key, "_blk"])
-    value = F.col("_carry") * F.pow(F.lit(decay), "_i") + F.col("_y") / F.pow(F.lit(decay), F.col("_n") - F.col("_i"))
-    return d.withColumn(out, value).drop("_m", "_blk", "_i", "_n", "_y", "_carry")
+    digits = -math.log10(decay)
+    size = max(1, min(512, int(200 / digits)))
+    halo = math.ceil(18 / (digits * size)) + 1
+    d = row_numbers(df.withColumn("_x", F.coalesce(measure.cast("double"), F.lit(0.0))), "_g", key, order, unit)
+    d = d.withColumn("_c", F.floor((F.col("_g") - 1) / size)).withColumn("_i", (F.col("_g") - 1) % size + 1)
+    scaled = F.col("_x") * F.pow(F.lit(decay), size - F.col("_i"))
+    ends = d.groupBy(key, "_c").agg(F.sum(scaled).alias("_b"))
+    before = F.collect_list("_b").over(W.partitionBy(key).orderBy("_c").rowsBetween(-halo, -1))
+    carry = ends.select(key, "_c", F.aggregate(before, F.lit(0.0), lambda s, x: s * F.lit(decay**size) + x).alias("_carry"))
+    inner = W.partitionBy(key, "_c").orderBy("_g").rowsBetween(W.unboundedPreceding, 0)
+    d = d.join(carry, [key, "_c"]).withColumn("_y", F.sum(scaled).over(inner))
+    value = F.col("_carry") * F.pow(F.lit(decay), "_i") + F.col("_y") / F.pow(F.lit(decay), size - F.col("_i"))
+    return d.withColumn(out, value).drop("_x", "_g", "_c", "_i", "_y", "_carry")

@@ -36,7 +36,7 @@ def flt04(spark, d):
     return K.select_ticks(ticks(spark, d), symbols=["click", "view"]).where("date <= date'2024-01-20'").groupBy("symbol", "date").agg(F.count("*").alias("n"))
 
 
-@query("flt05_typed_projection", "SELECT trade_id, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity, epoch_ms(ts) AS ms FROM t")
+@query("flt05_typed_projection", "SELECT trade_id, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity, CAST(epoch_us(ts) // 1000 AS BIGINT) AS ms FROM t")
 def flt05(spark, d):
     return ticks(spark, d).select("trade_id", F.col("price").cast("double"), F.col("quantity").cast("double"), F.unix_millis("ts").alias("ms"))
 

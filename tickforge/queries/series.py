@@ -175,7 +175,8 @@ def agg22(spark, d):
 
 
 @query("stg05_performance", _R + f""", p AS (SELECT *, close / first_value(close) OVER {_W} AS cu FROM r), k AS (SELECT *, cu / max(cu) OVER (PARTITION BY symbol ORDER BY bucket ROWS UNBOUNDED PRECEDING) - 1 AS dd, row_number() OVER (PARTITION BY symbol ORDER BY bucket DESC) AS z FROM p)
-SELECT symbol, round(max(CASE WHEN z = 1 THEN cu END) - 1, 4) AS total_return, round(stddev_samp(pct) * sqrt(365.0), 4) AS volatility, round(avg(pct) / stddev_samp(pct) * sqrt(365.0), 4) AS sharpe, round(min(dd), 4) AS max_drawdown FROM k GROUP BY symbol""")
+SELECT symbol, round(max(CASE WHEN z = 1 THEN cu END) - 1, 4) AS total_return, round(stddev_samp(pct) * sqrt(365.0), 4) AS volatility, round(avg(pct) / stddev_samp(pct) * sqrt(365.0), 4) AS sharpe, round(min(dd), 4) AS max_drawdown,
+ round(avg(pct) / stddev_samp(CASE WHEN pct < 0 THEN pct END) * sqrt(365.0), 4) AS sortino, round(avg(pct) * 365.0 / abs(min(dd)), 4) AS calmar FROM k GROUP BY symbol""")
 def stg05(spark, d):
     return R.performance(candles(spark, d))
 
@@ -202,7 +203,12 @@ def win17(spark, d):
     return n.select("symbol", "trade_id", dbl(F.col("n") / F.col("v")).alias("decayed_vwap"))
 
 
-@query("win19_fractional_difference")
+def _frac_sql(order: float, threshold: float) -> str:
+    """The weighted sum of a close and those before it; null until all of them are there."""
+    return " + ".join(f"{w!r} * lag(close, {i}) OVER {_W}" for i, w in enumerate(R.fractional_weights(order, threshold)))
+
+
+@query("win19_fractional_difference", _C + f"SELECT symbol, bucket, round({_frac_sql(0.4, 1e-2)}, 6) AS frac_diff FROM c")
 def win19(spark, d):
     return R.fractional_difference(candles(spark, d), 0.4, 1e-2).select("symbol", "bucket", "frac_diff")
 
