@@ -103,20 +103,43 @@ def optimal_threshold(ticks: DataFrame, target_bars: int | None = None, target_b
     return d.select("symbol", dbl(F.when(F.col("_d") < 0.01, short).otherwise(F.col("_t") / F.floor(F.lit(target_bars_per_day) * F.col("_d")))).alias("threshold"))
 
 
-_BAR = "symbol string, bar_id long, timestamp timestamp, timestamp_close timestamp, open double, high double, low double, close double, volume double, dollar_volume double, tick_count long, vwap double, price_change double, threshold_used double"
+_BAR = "symbol string, bar_id long, timestamp timestamp, timestamp_close timestamp, open double, high double, low double, close double, volume double, dollar_volume double, tick_count long, vwap double, price_std double, price_change double, duration_seconds double, ticks_per_second double, dollar_volume_per_second double, time_since_last_bar double, threshold_used double"
 
 
 class _Open:
-    """The unfinished bar of one symbol."""
+    """The unfinished bar of one symbol: running sums only, whatever its number of ticks."""
 
     def __init__(self):
-        self.rows, self.acc, self.id = [], 0.0, 0
+        self.id, self.acc, self.before = 0, 0.0, None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.n, self.first, self.last, self.open, self.close_, self.high, self.low = 0, None, None, 0.0, 0.0, -np.inf, np.inf
+        self.volume = self.dollars = self.mean = self.m2 = 0.0
+
+    def add(self, ts: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
+        k, mean = len(p), p.mean()
+        if not self.n:
+            self.first, self.open = ts[0], p[0]
+        # Means and squared deviations of two parts combine.
+        gap = mean - self.mean
+        self.m2 += ((p - mean) ** 2).sum() + gap * gap * self.n * k / (self.n + k)
+        self.mean += gap * k / (self.n + k)
+        self.n += k
+        self.last, self.close_, self.high, self.low = ts[-1], p[-1], max(self.high, p.max()), min(self.low, p.min())
+        self.volume, self.dollars = self.volume + q.sum(), self.dollars + (p * q).sum()
 
     def close(self, symbol: str, threshold: float) -> tuple:
-        ts, p, q = (np.concatenate(x) for x in zip(*self.rows))
-        d = p * q
-        self.rows, self.acc, self.id = [], 0.0, self.id + 1
-        return (symbol, self.id - 1, ts[0], ts[-1], p[0], p.max(), p.min(), p[-1], q.sum(), d.sum(), len(p), d.sum() / q.sum() if q.sum() else np.nan, p[-1] - p[0], threshold)
+        seconds = (self.last - self.first) / np.timedelta64(1, "s")
+        span = seconds or 1.0
+        since = np.nan if self.before is None else (self.first - self.before) / np.timedelta64(1, "s")
+        row = (
+            symbol, self.id, self.first, self.last, self.open, self.high, self.low, self.close_, self.volume, self.dollars, self.n, self.dollars / self.volume if self.volume else np.nan,
+            np.sqrt(self.m2 / (self.n - 1)) if self.n > 1 else np.nan, self.close_ - self.open, seconds, self.n / span, self.dollars / span, since, threshold,
+        )
+        self.before, self.acc, self.id = self.first, 0.0, self.id + 1
+        self._clear()
+        return row
 
 
 def _sequential(ticks: DataFrame, threshold: float, keep_tail: bool, lookback: int | None) -> DataFrame:
@@ -130,7 +153,7 @@ def _sequential(ticks: DataFrame, threshold: float, keep_tail: bool, lookback: i
             out = []
             for symbol, g in pdf.groupby("symbol", sort=False):
                 if symbol != name:
-                    if keep_tail and bar.rows:
+                    if keep_tail and bar.n:
                         out.append(bar.close(name, limit))
                     name, bar, sizes, limit = symbol, _Open(), [], threshold
                 ts, p, q = g["ts"].to_numpy(), g["price"].to_numpy(), g["quantity"].to_numpy()
@@ -138,10 +161,10 @@ def _sequential(ticks: DataFrame, threshold: float, keep_tail: bool, lookback: i
                 while i < len(p):
                     j = int(np.searchsorted(cum, base + limit - bar.acc, "left"))
                     if j >= len(p):
-                        bar.rows.append((ts[i:], p[i:], q[i:]))
+                        bar.add(ts[i:], p[i:], q[i:])
                         bar.acc += cum[-1] - base
                         break
-                    bar.rows.append((ts[i : j + 1], p[i : j + 1], q[i : j + 1]))
+                    bar.add(ts[i : j + 1], p[i : j + 1], q[i : j + 1])
                     row = bar.close(name, limit)
                     out.append(row)
                     i, base = j + 1, cum[j]
@@ -152,7 +175,7 @@ def _sequential(ticks: DataFrame, threshold: float, keep_tail: bool, lookback: i
                             limit = float((w * sizes).sum() / w.sum())
             if out:
                 yield pd.DataFrame(out, columns=[x.split()[0] for x in _BAR.split(", ")])
-        if keep_tail and bar.rows:
+        if keep_tail and bar.n:
             yield pd.DataFrame([bar.close(name, limit)], columns=[x.split()[0] for x in _BAR.split(", ")])
 
     return d.mapInPandas(run, _BAR)
@@ -170,10 +193,19 @@ def adaptive_bars(ticks: DataFrame, initial: float, lookback: int = 20) -> DataF
 
 
 def bar_statistics(bars: DataFrame) -> DataFrame:
-    """Per symbol: bars, tick counts, mean sizes, and mean and deviation of the returns from bar to bar."""
-    r = ratio(F.col("close"), F.lag("close").over(W.partitionBy("symbol").orderBy("bar_id"))) - 1
+    """Per symbol: bars, tick counts, mean sizes, the four moments of the returns from bar to bar, and, for adaptive
+    bars, the least, largest and mean threshold. No bars at all are an error."""
+    if not bars.limit(1).count():
+        raise ValueError("there are no bars")
+    c = F.col("close").cast("double")
+    r = ratio(c, F.lag(c).over(W.partitionBy("symbol").orderBy("bar_id"))) - 1
     b = bars.withColumn("_r", r)
+    limits = [dbl(f("threshold_used")).alias(f"threshold_{n}") for n, f in (("min", F.min), ("max", F.max), ("mean", F.avg))] if "threshold_used" in bars.columns else []
+    n = F.count("_r").cast("double")
+    skew = F.when((n > 2) & (F.stddev_pop("_r") > 0), F.skewness("_r") * F.sqrt(n * (n - 1)) / (n - 2))
+    kurt = F.when((n > 3) & (F.stddev_pop("_r") > 0), ((n + 1) * F.kurtosis("_r") + 6) * (n - 1) / ((n - 2) * (n - 3)))
     return b.groupBy("symbol").agg(
         F.count("*").alias("n_bars"), dbl(F.avg("tick_count")).alias("mean_ticks"), dbl(F.stddev_samp("tick_count")).alias("std_ticks"), dbl(F.avg(F.col("volume").cast("double"))).alias("mean_volume"),
         dbl(F.avg(F.col("dollar_volume").cast("double")), 4).alias("mean_dollars"), dbl(F.avg("_r")).alias("mean_return"), dbl(F.stddev_samp("_r")).alias("std_return"),
+        dbl(skew, 4).alias("skew_return"), dbl(kurt, 3).alias("kurtosis_return"), *limits,
     )

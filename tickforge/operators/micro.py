@@ -28,7 +28,7 @@ def liquidity_metrics(seconds: float) -> list[Column]:
     p, q = F.col("price").cast("double"), F.col("quantity").cast("double")
     std = F.stddev_pop(p)
     return [
-        F.count("*").alias("trades"), dbl(F.avg(p)).alias("mean_price"), dbl(std).alias("price_std"), dbl(F.max(p) - F.min(p)).alias("price_range"), dbl(ratio(F.max(p) - F.min(p), F.avg(p)) * 100).alias("range_pct"),
+        F.count("*").alias("trades"), dbl(F.avg(p)).alias("mean_price"), dbl(std).alias("price_std"), F.min(p).alias("min_price"), F.max(p).alias("max_price"), dbl(F.max(p) - F.min(p)).alias("price_range"), dbl(ratio(F.max(p) - F.min(p), F.avg(p)) * 100).alias("range_pct"),
         dbl(F.avg(q)).alias("mean_size"), dbl(F.stddev_pop(q)).alias("size_std"), dbl(F.sum(q)).alias("volume"), dbl(F.try_divide(F.count("*").cast("double"), F.when(std > 1e-9, std)), 4).alias("liquidity_score"),
         dbl(ratio(std, F.avg(q))).alias("price_impact"), dbl(F.count("*") / F.lit(float(seconds))).alias("arrival_rate"),
     ]
@@ -210,3 +210,46 @@ def last_book(books: DataFrame, seconds: int) -> DataFrame:
     """The newest snapshot of every window and symbol."""
     d = books.groupBy("symbol", F.window("ts", f"{seconds} seconds").start.alias("bucket")).agg(F.max_by(F.struct("ts", "bids", "asks"), "ts").alias("b"))
     return d.select("symbol", "bucket", "b.*")
+
+
+def latest_book(books: DataFrame, levels: int = 10) -> DataFrame:
+    """The newest snapshot per symbol with the first ``levels`` of either side."""
+    b = books.groupBy("symbol").agg(F.max_by(F.struct("ts", "bids", "asks"), "ts").alias("b"))
+    return b.select("symbol", "b.ts", F.slice("b.bids", 1, levels).alias("bids"), F.slice("b.asks", 1, levels).alias("asks"))
+
+
+def book_liquidity(books: DataFrame, seconds: int, n: int = 5) -> DataFrame:
+    """Per symbol and window, from its last snapshot: top of book, weighted spread, and depth and imbalance at level n."""
+    last = weighted_spread(top_of_book(last_book(books, seconds)), n)
+    total = lambda c: F.aggregate(F.slice(c, 1, n), F.lit(0.0), lambda s, v: s + v["quantity"].cast("double"))
+    d = last.withColumn("bid_depth", dbl(total("bids"))).withColumn("ask_depth", dbl(total("asks")))
+    d = d.withColumn("imbalance", dbl(ratio(F.col("bid_depth") - F.col("ask_depth"), F.col("bid_depth") + F.col("ask_depth"))))
+    return d.select("symbol", "bucket", "best_bid", "best_ask", "spread_bps", "weighted_spread", "bid_depth", "ask_depth", "imbalance")
+
+
+def large_and_small(ticks: DataFrame, seconds: int = 86400, small: float = 0.25, large: float = 0.95) -> DataFrame:
+    """Per window: mean size by side, share of trades at or under the small percentile and over the large one, and
+    how many trades are over two running deviations (expanding_outliers)."""
+    d = with_bucket(ticks, seconds).withColumn("_q", F.col("quantity").cast("double"))
+    w = W.partitionBy("symbol", "bucket")
+    cuts = d.groupBy("symbol", "bucket").agg(F.percentile("_q", F.lit(small)).alias("_a"), F.percentile("_q", F.lit(large)).alias("_z"))
+    run = w.orderBy("ts", "trade_id").rowsBetween(W.unboundedPreceding, 0)
+    z = F.try_divide(F.col("_q") - F.avg("_q").over(run), F.when(F.stddev_pop("_q").over(run) > 1e-9, F.stddev_pop("_q").over(run)))
+    d = d.withColumn("_big", (F.abs(F.round(z, 5)) > 2) & (F.count("*").over(run) > 20)).join(cuts, ["symbol", "bucket"])
+    pct = lambda c: dbl(F.count_if(c) * 100 / F.count("*"))
+    return d.groupBy("symbol", "bucket").agg(
+        F.count_if("_big").alias("large_count"), dbl(F.avg(F.when(buy(), F.col("_q")))).alias("avg_buy"), dbl(F.avg(F.when(sell(), F.col("_q")))).alias("avg_sell"),
+        pct(F.col("_q") <= F.col("_a")).alias("small_pct"), pct(F.col("_q") > F.col("_z")).alias("large_pct"),
+    )
+
+
+def profile_shape(ticks: DataFrame, seconds: int = 86400, bins: int = 20) -> DataFrame:
+    """Per window: lowest and highest price, point of control, Herfindahl concentration of the bins, weighted deviation."""
+    p, q = F.col("price").cast("double"), F.col("quantity").cast("double")
+    b = profile(ticks, seconds, bins).groupBy("symbol", "bucket").agg(
+        F.max_by("bin", F.struct("volume", -F.col("bin"))).alias("poc_bin"), dbl(F.sum(F.col("volume") * F.col("volume")) / F.pow(F.sum("volume"), F.lit(2.0))).alias("concentration"),
+    )
+    mean = F.sum(p * q) / F.sum(q)
+    var = F.sum(p * p * q) / F.sum(q) - mean * mean
+    t = with_bucket(ticks, seconds).groupBy("symbol", "bucket").agg(F.min(p).alias("low"), F.max(p).alias("high"), dbl(F.sqrt(F.greatest(var, F.lit(0.0))), 4).alias("weighted_std"))
+    return t.join(b, ["symbol", "bucket"])

@@ -118,9 +118,12 @@ def backfill_plan(ticks: DataFrame, ranges: DataFrame, max_records: int, initial
     return d.select("symbol", "missing_start", F.col("_p").alias("piece"), F.timestamp_micros(start).alias("piece_start"), F.timestamp_micros(F.least(start + F.col("_us"), F.col("_z"))).alias("piece_end"))
 
 
-def file_sanity(df: DataFrame) -> DataFrame:
-    """Rows and size of every file behind df."""
-    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("records"), F.max("_metadata.file_size").alias("file_bytes")).withColumn("non_empty", F.col("records") > 0)
+def file_sanity(df: DataFrame, ts: str = "ts", symbol: str = "symbol") -> DataFrame:
+    """Rows, size, dates and symbols of every file behind df."""
+    f = df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
+        F.count("*").alias("records"), F.max("_metadata.file_size").alias("file_bytes"), F.count_distinct(F.to_date(ts)).alias("dates"), F.count_distinct(symbol).alias("symbols"),
+    )
+    return f.withColumn("non_empty", F.col("records") > 0)
 
 
 def latest_window(ticks: DataFrame, as_of, hours: int = 24) -> DataFrame:

@@ -212,6 +212,26 @@ def jarque_bera(df: DataFrame, column: str, key: str = "symbol") -> DataFrame:
     return df.groupBy(key).agg(F.count(x).alias("n"), dbl(jb, 3).alias("jb"), dbl(F.exp(-jb / 2), 5).alias("p_value"))
 
 
+def dagostino(df: DataFrame, column: str, key: str = "symbol") -> DataFrame:
+    """D'Agostino and Pearson's K2 of skewness and kurtosis and its p-value, by the published normal transforms."""
+    x = F.col(column).cast("double")
+    d = df.groupBy(key).agg(F.count(x).cast("double").alias("n"), F.skewness(x).alias("g1"), F.kurtosis(x).alias("g2"))
+    n = F.col("n")
+    y = F.col("g1") * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
+    b2 = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
+    w2 = F.sqrt(2 * (b2 - 1)) - 1
+    delta, alpha = 1 / F.sqrt(0.5 * F.log(w2)), F.sqrt(2 / (w2 - 1))
+    z1 = delta * F.log(y / alpha + F.sqrt((y / alpha) * (y / alpha) + 1))
+    mean, var = 3 * (n - 1) / (n + 1) - 3, 24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))
+    u = (F.col("g2") - mean) / F.sqrt(var)
+    beta = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
+    a = 6 + 8 / beta * (2 / beta + F.sqrt(1 + 4 / (beta * beta)))
+    t = (1 - 2 / a) / (1 + u * F.sqrt(2 / (a - 4)))
+    z2 = (1 - 2 / (9 * a) - F.signum(t) * F.pow(F.abs(t), F.lit(1 / 3))) / F.sqrt(2 / (9 * a))
+    k2 = z1 * z1 + z2 * z2
+    return d.select(key, n.cast("long").alias("n"), dbl(k2, 3).alias("k2"), dbl(F.exp(-k2 / 2), 5).alias("p_value"))
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     from pyspark.sql import Window as W
 

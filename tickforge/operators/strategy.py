@@ -31,7 +31,7 @@ def expanding_outliers(ticks: DataFrame, seconds: int = 86400, least: int = 20,
 
 
 def effective_spread(ticks: DataFrame, seconds: int = 86400, last: int = 5, least: int = 2) -> DataFrame:
-    """Per window: mean, population deviation, minimum and maximum of the relative gap between the means of the last
+    """Per window: mean, population deviation, minimum, maximum, median and volatility (deviation by mean) of the relative gap between the means of the last
     buys and the last sells, taken after every trade once both sides have ``least`` trades; gaps under 1e-4 don't count."""
     d = with_bucket(ticks, seconds)
     p = F.col("price").cast("double")
@@ -41,7 +41,7 @@ def effective_spread(ticks: DataFrame, seconds: int = 86400, last: int = 5, leas
     hold = lambda cond: F.last(F.when(cond, F.col("_m")), ignorenulls=True).over(run)
     d = d.withColumn("_b", hold(~F.col("is_buyer_maker"))).withColumn("_s", hold(F.col("is_buyer_maker")))
     d = d.withColumn("spread", F.abs(F.col("_b") - F.col("_s")) / ((F.col("_b") + F.col("_s")) / 2)).where("spread >= 0.0001")
-    return d.groupBy("symbol", "bucket").agg(F.count("*").alias("n"), dbl(F.avg("spread")).alias("mean"), dbl(F.stddev_pop("spread")).alias("std"), dbl(F.min("spread")).alias("min"), dbl(F.max("spread")).alias("max"))
+    return d.groupBy("symbol", "bucket").agg(F.count("*").alias("n"), dbl(F.avg("spread")).alias("mean"), dbl(F.stddev_pop("spread")).alias("std"), dbl(F.min("spread")).alias("min"), dbl(F.max("spread")).alias("max"), dbl(F.median("spread")).alias("median"), dbl(F.try_divide(F.stddev_pop("spread"), F.avg("spread")), 5).alias("volatility"))
 
 
 def halves(ticks: DataFrame, seconds: int = 86400) -> DataFrame:
@@ -106,3 +106,31 @@ def daily_last(equity: DataFrame, limit: float = -200.0) -> DataFrame:
     p = F.lag("value").over(W.partitionBy("symbol").orderBy("day"))
     d = d.withColumn("pnl", dbl((ratio(F.col("value"), p) - 1) * 10_000, 4))
     return d.withColumn("breach", F.coalesce(F.col("pnl") < limit, F.lit(False)))
+
+
+def movement_levels(ticks: DataFrame, seconds: int = 86400, alpha: float = 0.1) -> DataFrame:
+    """Per window: the momentum after its last trade, and the level of its price deviation by mean: above 0.1 high,
+    above 0.05 medium, else low."""
+    d = with_bucket(ema_momentum(ticks, alpha), seconds)
+    p = F.col("price").cast("double")
+    g = d.groupBy("symbol", "bucket").agg(dbl(F.max_by("momentum", F.struct("ts", "trade_id"))).alias("momentum"), dbl(F.try_divide(F.stddev_pop(p), F.avg(p)), 5).alias("variation"))
+    return g.withColumn("volatility_level", F.when(F.col("variation") > 0.1, "high").when(F.col("variation") > 0.05, "medium").otherwise("low"))
+
+
+def buy_share(bars: DataFrame) -> DataFrame:
+    """Adds buy_share: buys of all volume of a bar with side volumes."""
+    return bars.withColumn("buy_share", dbl(ratio(F.col("buy_volume"), F.col("buy_volume") + F.col("sell_volume"))))
+
+
+def liquidity_detail(b: DataFrame, n: int = 20, share: float = 0.95) -> DataFrame:
+    """Per symbol: mean impact (absolute move by volume), volatility of the returns, and bars whose distance in time
+    to the one before is over the percentile."""
+    t = F.unix_micros("bucket") / F.lit(1e6)
+    d = returns(b).withColumn("_gap", t - F.lag(t).over(over())).withColumn("_impact", F.try_divide(F.abs(x("close") - x("open")), x("volume")))
+    q = d.groupBy("symbol").agg(F.percentile("_gap", F.lit(share)).alias("_q"))
+    return d.join(q, "symbol").groupBy("symbol").agg(dbl(F.avg("_impact")).alias("mean_impact"), dbl(F.stddev_samp("pct_change"), 5).alias("volatility"), F.count_if(F.col("_gap") > F.col("_q")).alias("long_gaps"))
+
+
+def vwap_deviation(c: DataFrame) -> DataFrame:
+    """Adds (close - vwap) / vwap in %, for candles or bars with a vwap."""
+    return c.withColumn("vwap_deviation", dbl(ratio(x("close") - x("vwap"), x("vwap")) * 100))

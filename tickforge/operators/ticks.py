@@ -130,3 +130,16 @@ def train_test(df: DataFrame, test_share: float = 0.2, key: str = "symbol") -> D
     n = df.groupBy(key).agg(F.count("*").alias("_n"))
     d = d.join(n, key)
     return d.withColumn("split", F.when(F.col("_rn") <= F.floor(F.col("_n") * F.lit(1 - test_share)), "train").otherwise("test")).drop("_rn", "_n")
+
+
+def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
+    """Rows without a null in the named columns, or in any."""
+    return df.na.drop(subset=subset)
+
+
+def raw_trades(df: DataFrame, symbol: str = "symbol") -> DataFrame:
+    """Raw trades (id, price, qty, time in ms, isBuyerMaker) as ticks, so every operator on ticks takes them."""
+    return df.select(
+        F.col(symbol).alias("symbol"), F.col("id").cast("long").alias("trade_id"), F.timestamp_millis("time").alias("ts"), F.col("price").cast("decimal(18,8)").alias("price"),
+        F.col("qty").cast("decimal(18,8)").alias("quantity"), F.col("isBuyerMaker").alias("is_buyer_maker"), F.to_date(F.timestamp_millis("time")).alias("date"),
+    )

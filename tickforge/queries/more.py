@@ -35,7 +35,7 @@ def win21(spark, d):
 @query("win22_mic05_effective_spread", _win(86400) + """, m AS (SELECT *, CASE WHEN count(*) OVER s >= 2 THEN avg(p) OVER s END AS m FROM w WINDOW s AS (PARTITION BY symbol, bucket, is_buyer_maker ORDER BY ts, trade_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
  g AS (SELECT *, count(CASE WHEN NOT is_buyer_maker THEN m END) OVER r AS gb, count(CASE WHEN is_buyer_maker THEN m END) OVER r AS gs FROM m WINDOW r AS (PARTITION BY symbol, bucket ORDER BY ts, trade_id ROWS UNBOUNDED PRECEDING)),
  h AS (SELECT symbol, bucket, max(CASE WHEN NOT is_buyer_maker THEN m END) OVER (PARTITION BY symbol, bucket, gb) AS b, max(CASE WHEN is_buyer_maker THEN m END) OVER (PARTITION BY symbol, bucket, gs) AS s FROM g),
- x AS (SELECT symbol, bucket, abs(b - s) / ((b + s) / 2) AS sp FROM h) SELECT symbol, bucket, count(*) AS n, round(avg(sp), 6) AS mean, round(stddev_pop(sp), 6) AS std, round(min(sp), 6) AS min, round(max(sp), 6) AS max FROM x WHERE sp >= 0.0001 GROUP BY symbol, bucket""")
+ x AS (SELECT symbol, bucket, abs(b - s) / ((b + s) / 2) AS sp FROM h) SELECT symbol, bucket, count(*) AS n, round(avg(sp), 6) AS mean, round(stddev_pop(sp), 6) AS std, round(min(sp), 6) AS min, round(max(sp), 6) AS max, round(quantile_cont(sp, 0.5), 6) AS median, round(stddev_pop(sp) / avg(sp), 5) AS volatility FROM x WHERE sp >= 0.0001 GROUP BY symbol, bucket""")
 def win22(spark, d):
     return G.effective_spread(ticks(spark, d))
 

@@ -140,9 +140,9 @@ def dq21(spark, d):
     return Q.latest_window(ticks(spark, d), AS_OF)
 
 
-@query("dq18_file_sanity")
+@query("dq18_file_sanity", "SELECT 'events.parquet' AS file_name, count(*) AS records, count(DISTINCT CAST(ts AS DATE)) AS dates, count(DISTINCT event_type) AS symbols, count(*) > 0 AS non_empty FROM events", raw=True)
 def dq18(spark, d):
-    return Q.file_sanity(table(spark, d, "events"))
+    return Q.file_sanity(table(spark, d, "events"), "ts", "event_type").drop("file_bytes")
 
 
 def _win(seconds: int) -> str:
@@ -179,7 +179,7 @@ def mic03(spark, d):
     return M.toxicity(ticks(spark, d))
 
 
-@query("mic04_liquidity", _win(3600) + """SELECT symbol, bucket, count(*) AS trades, round(avg(p), 6) AS mean_price, round(stddev_pop(p), 6) AS price_std, round(max(p) - min(p), 6) AS price_range, round((max(p) - min(p)) / avg(p) * 100, 6) AS range_pct, round(avg(q), 6) AS mean_size,
+@query("mic04_liquidity", _win(3600) + """SELECT symbol, bucket, count(*) AS trades, round(avg(p), 6) AS mean_price, round(stddev_pop(p), 6) AS price_std, min(p) AS min_price, max(p) AS max_price, round(max(p) - min(p), 6) AS price_range, round((max(p) - min(p)) / avg(p) * 100, 6) AS range_pct, round(avg(q), 6) AS mean_size,
  round(stddev_pop(q), 6) AS size_std, CAST(sum(q) AS DOUBLE) AS volume, round(count(*) / CASE WHEN stddev_pop(p) > 0.000000001 THEN stddev_pop(p) END, 4) AS liquidity_score, round(stddev_pop(p) / avg(q), 6) AS price_impact, round(count(*) / 3600.0, 6) AS arrival_rate FROM w GROUP BY symbol, bucket""")
 def mic04(spark, d):
     return M.windowed(ticks(spark, d), M.liquidity_metrics(3600), 3600)

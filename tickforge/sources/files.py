@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +13,8 @@ from ..schema import TICKS
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that driver and executors share; a folder of its own only where none is named."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or else one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -106,3 +103,53 @@ def create_view(df: DataFrame, name: str) -> None:
 
 def partition_listing(ticks: DataFrame) -> DataFrame:
     return ticks.groupBy("symbol").agg(F.count_distinct("date").alias("dates"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count("*").alias("records"))
+
+
+def storage_stats(df: DataFrame, key: str = "symbol") -> DataFrame:
+    """Per key: files, megabytes and rows of what df reads; files are counted once, whatever their rows."""
+    f = df.groupBy(key, F.col("_metadata.file_path").alias("_f")).agg(F.count("*").alias("_n"), F.max("_metadata.file_size").alias("_b"))
+    return f.groupBy(key).agg(F.count("*").alias("files"), F.round(F.sum("_b") / F.lit(1e6), 6).alias("megabytes"), F.sum("_n").alias("records"))
+
+
+def reorganise_staging(spark: SparkSession, staging: str, path: str) -> None:
+    """Staged files without dates become symbol=/date= folders; what the table already holds is not written again."""
+    staged = spark.read.parquet(staging).withColumn("date", F.to_date("ts"))
+    try:
+        append_new(staged, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        write_ticks(deduplicate(staged), path)
+
+
+def materialise(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
+    """Save a derived table in the catalogue and read it from there."""
+    df.write.mode(mode).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def ingest_new(ticks: DataFrame, path: str, cursors: str) -> int:
+    """Append the rows beyond each symbol's last stored id, and store the new ids; the number of new rows comes back.
+
+    Cursors are one row per symbol and version; the newest version counts, so a run that fails before its cursors are
+    written is simply done again: append_new leaves out what is there already.
+    """
+    spark = ticks.sparkSession
+    held = spark.createDataFrame([], "symbol string, last_id long, version long")
+    try:
+        held = spark.read.parquet(cursors)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    now = held.groupBy("symbol").agg(F.max_by("last_id", "version").alias("_last"))
+    version = (held.agg(F.max("version")).first()[0] or 0) + 1
+    fresh = ticks.join(now, "symbol", "left").where(F.col("_last").isNull() | (F.col("trade_id") > F.col("_last"))).drop("_last")
+    n = fresh.count()
+    if n:
+        if version == 1:
+            write_ticks(deduplicate(fresh), path)
+        else:
+            append_new(fresh, path)
+        last = fresh.groupBy("symbol").agg(F.max("trade_id").alias("last_id"), F.lit(version).cast("long").alias("version"))
+        last.write.mode("append").parquet(cursors)
+    return n

@@ -59,3 +59,10 @@ class Registry:
         d = ticks.groupBy(F.window("ts", f"{seconds} seconds").alias("w"), "symbol").agg(*cols)
         structs = [F.struct(*[F.col(f"_{i}_{j}").alias(names[i, j]) for j in range(len(a.columns()))]).alias(a.name) for i, a in enumerate(used)]
         return d.select("symbol", F.col("w.start").alias("bucket"), *structs)
+
+
+def on_agg_trades(registry: Registry, messages: DataFrame, symbol: Column, seconds: int = 60, column: str = "value") -> DataFrame:
+    """The registry's analyzers over raw aggregated trades: the messages become ticks, which all analyzers take."""
+    from ..sources.raw import agg_trades
+
+    return registry.run(agg_trades(messages, symbol, column), seconds)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -59,12 +61,19 @@ def reset_bars(ticks: DataFrame, threshold: float) -> DataFrame:
         s = list(held.get) if held.exists else [0, None, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0]
         rows = []
         pdf = pd.concat(list(batches)).sort_values(["ts", "trade_id"])
-        for ts, p, q in zip(pdf["ts"], pdf["price"].astype(float), pdf["quantity"].astype(float)):
+        ts, p, q = pdf["ts"].tolist(), pdf["price"].to_numpy(float), pdf["quantity"].to_numpy(float)
+        cum, i, base = np.cumsum(p * q), 0, 0.0
+        while i < len(p):
+            # One step per bar: the crossing tick is found in the running sums.
+            j = min(int(np.searchsorted(cum, base + threshold - s[7], "left")), len(p) - 1)
+            part, dollars = slice(i, j + 1), cum[j] - base
             if not s[8]:
-                s[1:] = [ts, p, p, p, p, 0.0, 0.0, 0]
-            s[3], s[4], s[5], s[6], s[7], s[8] = max(s[3], p), min(s[4], p), p, s[6] + q, s[7] + p * q, s[8] + 1
+                s[1:] = [ts[i], float(p[i]), float(p[i]), float(p[i]), 0.0, 0.0, 0.0, 0]
+            s[3], s[4], s[5] = max(s[3], float(p[part].max())), min(s[4], float(p[part].min())), float(p[j])
+            s[6], s[7], s[8] = s[6] + float(q[part].sum()), s[7] + float(dollars), s[8] + j + 1 - i
+            i, base = j + 1, cum[j]
             if s[7] >= threshold:
-                rows.append((key[0], s[0], s[1], s[2], s[3], s[4], s[5], s[6], s[7], s[8]))
+                rows.append((key[0], *s))
                 s = [s[0] + 1, None, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0]
         held.update(tuple(s))
         yield pd.DataFrame(rows, columns=[x.split()[0] for x in out.split(", ")])
@@ -108,3 +117,43 @@ def latest_per_symbol(ticks: DataFrame) -> DataFrame:
 def current_books(books: DataFrame) -> DataFrame:
     """The newest order book per symbol (update mode)."""
     return books.groupBy("symbol").agg(F.max_by(F.struct("ts", "bids", "asks"), "ts").alias("b")).select("symbol", "b.*")
+
+
+def last_n(ticks: DataFrame, n: int, label: str, keys: tuple = ("symbol",), seconds: int | None = None) -> DataFrame:
+    """Buffers of the newest n rows per key, kept up by batch: each batch and the buffers before it make new ones.
+
+    Only n rows a key are held, and a batch is cut to n rows a key before it meets them; with ``seconds``, rows older
+    than that before the newest of their key go too. Every version is written whole; a repeated batch rewrites its own.
+    """
+    spark = ticks.sparkSession
+    path, schema = shared_path(spark, label), ticks.schema
+    w = W.partitionBy(*keys).orderBy(F.desc("ts"), F.desc("trade_id"))
+    newest = lambda d: d.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= n).drop("_k")
+    held = [None]
+
+    def keep(batch: DataFrame, i: int) -> None:
+        d = newest(batch)
+        before = [v for v in held if v is not None and v != i]
+        if before:
+            d = newest(d.unionByName(spark.read.schema(schema).parquet(f"{path}/v={before[-1]}")))
+        if seconds is not None:
+            top = F.max("ts").over(W.partitionBy(*keys))
+            d = d.withColumn("_t", top).where(F.unix_micros("_t") - F.unix_micros("ts") <= seconds * 1_000_000).drop("_t")
+        d.write.mode("overwrite").parquet(f"{path}/v={i}")
+        held[:] = [*before, i]
+
+    run_batches(ticks, keep, label + "-state")
+    return spark.read.schema(schema).parquet(f"{path}/v={held[-1]}") if held[-1] is not None else spark.createDataFrame([], schema)
+
+
+def monitor(ticks: DataFrame) -> DataFrame:
+    """Per symbol so far (update mode): trades by side, imbalance, volumes, price and its deviation, vwap, delta, span."""
+    p, q = F.col("price").cast("double"), F.col("quantity").cast("double")
+    sell = F.col("is_buyer_maker")
+    total = lambda c: F.coalesce(F.sum(F.when(c, q)), F.lit(0.0))
+    n = F.count("*")
+    return ticks.groupBy("symbol").agg(
+        F.count_if(~sell).alias("buys"), F.count_if(sell).alias("sells"), F.round((F.count_if(~sell) - F.count_if(sell)) / n, 6).alias("imbalance"), total(~sell).alias("buy_volume"), total(sell).alias("sell_volume"),
+        F.round(F.avg(p), 6).alias("mean_price"), F.round(F.stddev_pop(p), 6).alias("price_std"), F.round(F.sum(p * q) / F.sum(q), 6).alias("vwap"), F.round(total(~sell) - total(sell), 6).alias("delta"),
+        F.round((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / F.lit(1e6), 3).alias("uptime_seconds"),
+    )
