@@ -67,9 +67,21 @@ def bar05(spark, d):
     return B.adaptive_bars(ticks(spark, d), 5_000.0)
 
 
-@query("bar06_reset_bars")
+#: Bars that close on the crossing tick, tick by tick in cents; the shape of what comes out of both forms.
+RESET_SQL = """, k AS (SELECT symbol, ts, cents, q, row_number() OVER (PARTITION BY symbol ORDER BY ts, trade_id) AS i FROM t),
+ b AS (SELECT * FROM (WITH RECURSIVE s AS (SELECT symbol, ts, cents, q, i, CAST(0 AS BIGINT) AS bar_id, CAST(cents * q AS BIGINT) AS acc FROM k WHERE i = 1
+   UNION ALL SELECT k.symbol, k.ts, k.cents, k.q, k.i, s.bar_id + CASE WHEN s.acc >= 500000 THEN 1 ELSE 0 END, CAST(CASE WHEN s.acc >= 500000 THEN 0 ELSE s.acc END + k.cents * k.q AS BIGINT) FROM s JOIN k ON k.symbol = s.symbol AND k.i = s.i + 1) SELECT * FROM s)),
+ n AS (SELECT *, row_number() OVER (PARTITION BY symbol, bar_id ORDER BY i) AS a, row_number() OVER (PARTITION BY symbol, bar_id ORDER BY i DESC) AS z FROM b)
+SELECT symbol, bar_id, min(ts) AS timestamp, max(CASE WHEN a = 1 THEN cents END) / 100.0 AS open, max(cents) / 100.0 AS high, min(cents) / 100.0 AS low, max(CASE WHEN z = 1 THEN cents END) / 100.0 AS close, round(CAST(sum(q) AS DOUBLE), 6) AS volume, round(sum(cents * q) / 100.0, 4) AS dollar_volume, count(*) AS tick_count FROM n GROUP BY symbol, bar_id"""
+
+
+def reset_columns(b):
+    return b.select("symbol", "bar_id", "timestamp", "open", "high", "low", "close", dbl("volume").alias("volume"), dbl("dollar_volume", 4).alias("dollar_volume"), "tick_count")
+
+
+@query("bar06_reset_bars", RESET_SQL)
 def bar06(spark, d):
-    return B.reset_bars(ticks(spark, d), 5_000.0)
+    return reset_columns(B.reset_bars(ticks(spark, d), 5_000.0))
 
 
 _STATS = """, r AS (SELECT *, CAST(close AS DOUBLE) / CAST(lag(close) OVER (PARTITION BY symbol ORDER BY bar_id) AS DOUBLE) - 1 AS r FROM d)

@@ -10,6 +10,7 @@ from ..registry import query
 from ..schema import ticks
 from ..sources import files, raw
 from ..streaming import analyzers, streams
+from .bars import RESET_SQL, reset_columns
 
 
 @query("src01_snk01_partitioned_round_trip", "SELECT trade_id, price, quantity FROM t WHERE symbol = 'click' AND date >= DATE '2024-01-05' AND date <= DATE '2024-01-10'")
@@ -116,9 +117,9 @@ def str06(spark, d):
     return streams.run_to_files(streams.deduplicated(s), "dedup").groupBy("symbol").agg(F.count("*").alias("n"))
 
 
-@query("str05_bar07_stateful_bars")
+@query("str05_bar07_stateful_bars", RESET_SQL + " HAVING sum(cents * q) >= 500000")
 def str05(spark, d):
-    return streams.run_to_files(streams.reset_bars(streams.stream_ticks(spark, d), 5_000.0), "bars")
+    return reset_columns(streams.run_to_files(streams.reset_bars(streams.stream_ticks(spark, d), 5_000.0), "bars"))
 
 
 @query("str09_str12_latest_per_symbol", "SELECT symbol, count(*) AS trades, max(CASE WHEN z = 1 THEN price END) AS last_price, max(ts) AS last_time FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, trade_id DESC) AS z FROM t) GROUP BY symbol")
@@ -131,7 +132,8 @@ def str15(spark, d):
     return streams.run_to_files(streams.price_alerts(streams.stream_ticks(spark, d), 200.0), "alerts")
 
 
-@query("str03_sessions")
+@query("str03_sessions", """, f AS (SELECT symbol, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY symbol ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS f FROM t), i AS (SELECT *, sum(f) OVER (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING) AS i FROM f)
+SELECT symbol, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end, count(*) AS n FROM i GROUP BY symbol, i.i HAVING max(ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 SECOND FROM t)""")
 def str03(spark, d):
     return streams.run_to_files(streams.sessions(streams.stream_ticks(spark, d)), "sessions")
 

@@ -21,7 +21,8 @@ def candles(spark, d):
     return S.ohlcv(ticks(spark, d), "4h")
 
 
-@query("win18_ema_momentum")
+@query("win18_ema_momentum", """, k AS (SELECT symbol, trade_id, row_number() OVER (PARTITION BY symbol ORDER BY ts, trade_id) AS i, (cents - lag(cents) OVER (PARTITION BY symbol ORDER BY ts, trade_id)) / CAST(lag(cents) OVER (PARTITION BY symbol ORDER BY ts, trade_id) AS DOUBLE) AS ch FROM t)
+SELECT * FROM (WITH RECURSIVE s AS (SELECT symbol, trade_id, i, CAST(0.0 AS DOUBLE) AS m FROM k WHERE i = 1 UNION ALL SELECT k.symbol, k.trade_id, k.i, 0.1 * coalesce(k.ch, 0) + 0.9 * s.m FROM s JOIN k ON k.symbol = s.symbol AND k.i = s.i + 1) SELECT symbol, trade_id, round(m, 6) AS momentum FROM s)""")
 def win18(spark, d):
     return G.ema_momentum(ticks(spark, d)).select("symbol", "trade_id", dbl("momentum").alias("momentum"))
 

@@ -195,7 +195,8 @@ def stg10(spark, d):
     return R.activity_regimes(candles(spark, d))
 
 
-@query("win17_decayed_vwap")
+@query("win17_decayed_vwap", """, k AS (SELECT symbol, trade_id, CAST(q AS DOUBLE) AS q, cents / 100.0 * q AS d, row_number() OVER (PARTITION BY symbol ORDER BY ts, trade_id) AS i FROM t)
+SELECT * FROM (WITH RECURSIVE s AS (SELECT symbol, trade_id, i, CAST(d AS DOUBLE) AS n, q AS v FROM k WHERE i = 1 UNION ALL SELECT k.symbol, k.trade_id, k.i, k.d + 0.99 * s.n, k.q + 0.99 * s.v FROM s JOIN k ON k.symbol = s.symbol AND k.i = s.i + 1) SELECT symbol, trade_id, round(n / v, 6) AS decayed_vwap FROM s)""")
 def win17(spark, d):
     t = ticks(spark, d)
     n = prefix.decayed_sum(t, F.col("price") * F.col("quantity"), 0.99, "n")
