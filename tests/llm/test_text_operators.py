@@ -81,7 +81,9 @@ def brute_lines(texts):
     return ["\n".join(x for p, x in enumerate(t.split("\n")) if (i, p) not in gone) if t is not None else None for i, t in enumerate(texts)]
 
 
-def test_line_dedup(spark, sf_dir):
+@pytest.mark.parametrize("set_bytes", [64 << 20, 0])
+def test_line_dedup(spark, sf_dir, monkeypatch, set_bytes):
+    monkeypatch.setattr(line_dedup, "MAX_SET_BYTES", set_bytes)
     rnd = random.Random(5)
     base = [t for _, t in sample(spark, sf_dir, 40)]
     near = []
