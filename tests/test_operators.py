@@ -179,3 +179,27 @@ def test_registry_of_analyzers():
     r.enable("counter", False)
     with pytest.raises(ValueError):
         r.run(None)
+
+
+def test_decayed_sums_and_islands_of_a_dense_day(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tickforge.operators import series
+    from tickforge.plans import prefix
+
+    start = dt.datetime(2024, 1, 5, 1)
+    rows, at = [], start
+    for i in range(12_000):
+        at += dt.timedelta(milliseconds=200 if i % 4000 else 3_600_000)
+        rows.append(("a", i, at, float(i % 7 + 1)))
+    d = spark.createDataFrame(rows, "symbol string, trade_id long, ts timestamp, price double")
+    for decay in (0.9, 0.999, 0.05):
+        got = [r["y"] for r in prefix.decayed_sum(d, F.col("price"), decay, "y").orderBy("trade_id").collect()]
+        y = 0.0
+        for r, g in zip(rows, got, strict=True):
+            y = decay * y + r[3]
+            assert abs(g - y) <= 1e-9 * y
+    got = series.islands(d).orderBy("island_start").collect()
+    assert [r["n"] for r in got] == [4000, 4000, 4000] and got[0]["island_start"] == rows[0][2]
