@@ -84,6 +84,11 @@ def small_or_plain(df: DataFrame, max_rows: int, weight: Column | None = None) -
     return F.broadcast(df) if (df.agg(F.sum(weight)).first()[0] or 0) <= max_rows else df
 
 
+def spread(pairs: DataFrame, per_task: int, *by: Column | str) -> DataFrame:
+    """pairs in a task for each per_task rows, whatever their bytes: what is done with a pair takes far longer than to move it."""
+    return pairs.repartition(max(1, -(-pairs.count() // per_task)), *by)
+
+
 def _is_stars(edges: DataFrame) -> bool:
     """Whether every u has one v, which is not itself a u: then each v is the smallest id of its component."""
     ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
@@ -126,6 +131,8 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
 #: meets a few representatives of the other components, for ROUNDS rounds, and then every pair that is still open is
 #: compared, in blocks of BLOCK by BLOCK members; CHUNK pairs are confirmed at a time.
 SMALL, CROWD, ROUNDS, BLOCK, CHUNK = 8, 48, 1, 1024, 2_000_000
+#: Blocks of members that a task compares, on average.
+BLOCKS = 16
 #: Keys of shared buckets that are broadcast to find their members, at most.
 MAX_KEYS = 1_000_000
 
@@ -157,6 +164,10 @@ def _all_pairs(open_: DataFrame, features: DataFrame, may) -> DataFrame:
     two = d.select("key", F.explode(span).alias("p"), F.col("blk").alias("q"), F.col("id").alias("i2"), F.col("comp").alias("c2"), F.col("keys").alias("k2"), F.col("f").alias("f2"), "away")
     first = F.col("key") == F.array_min(F.array_intersect("k1", "k2"))
     once = ~F.col("away") | (F.col("i1") < F.col("i2"))
+    # Blocks are dealt by their number, not by the few bytes of their members.
+    n_blocks = open_.select("key", "m").distinct().agg(F.sum(F.pow(F.ceil(F.col("m") / BLOCK), F.lit(2)))).first()[0] or 0
+    tasks = int(n_blocks // BLOCKS) + 1
+    one, two = (x.repartition(tasks, "key", "p", "q") for x in (one, two))
     pairs = one.join(two, ["key", "p", "q"]).where((F.col("c1") != F.col("c2")) & once & may(F.col("f1"), F.col("f2")) & first)
     return pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct()
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_links, cut, drop_cut, scratch, small_or_plain
+from .common import bucket_links, cut, drop_cut, scratch, small_or_plain, spread
 
 #: MinHash samples: BANDS x ROWS. At a similarity of 0.8 a pair shares no band with a probability of 3e-5.
 BANDS, ROWS = 26, 5
@@ -20,6 +20,8 @@ ODD_LONGS, WHOLE_LONGS = 4, 8
 MARGIN = 0.25
 #: Ids of candidates that are broadcast to look up their texts, at most; more of them are joined by a shuffle.
 MAX_BROADCAST = 300_000
+#: Pairs that a task confirms, where their texts are broadcast, and the tasks that one text's pairs are spread over.
+PAIRS, SALTS = 5_000, 8
 _BLANKS = bytes(0x20 if b in (0x20, 9, 10, 11, 12, 13) else b for b in bytes(range(256)).lower())
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _rng = np.random.RandomState(20240101)
@@ -140,17 +142,21 @@ def _confirm(pairs: DataFrame, docs: DataFrame, n: int, percent: int, text: str,
 
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
-        out, last, left = [], None, set()
-        for s, t in zip(x, y):
-            if s is not last:
-                last, left = s, shingle_set(s, n)
-            right = shingle_set(t, n)
+        # Pairs with a text in common mostly follow each other, so each side's last set is kept.
+        out, s, t = [], None, None
+        left, right = set(), set()
+        for s1, t1 in zip(x, y):
+            if s1 != s:
+                s, left = s1, shingle_set(s1, n)
+            if t1 != t:
+                t, right = t1, shingle_set(t1, n)
             both = len(left & right)
             out.append(100 * both >= percent * (len(left) + len(right) - both))
         return pd.Series(out, dtype=bool)
 
     left = texts.select(F.col("_doc").alias("a"), F.col("_text").alias("ta"))
     right = texts.select(F.col("_doc").alias("b"), F.col("_text").alias("tb"))
+    pairs = spread(pairs, PAIRS, "a", F.pmod(F.xxhash64("b"), F.lit(SALTS))).sortWithinPartitions("a", "b")
     return cut(pairs.join(left, "a").join(right, "b").where(alike("ta", "tb")).select("a", "b"), "links")
 
 
