@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, decontaminate, language_id, line_crf, line_dedup, mixing, near_dedup, quality_rules, tokens, warc
-from .common import scratch_path, table
+from . import attention_lm, decontaminate, language_id, line_crf, line_dedup, mixing, near_dedup, periodic_runs, quality_rules, tokens, warc
+from .common import scratch_path, table, words_of
 
 
 def fold(doc_id: Column, n: int) -> Column:
@@ -76,6 +76,22 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words_of(F.col("text"))))
+    g, n = F.floor(F.col("h") / 10), F.size("w").cast("long")
+    d = d.withColumn("a", F.when(n > 0, g % n)).withColumn("p", F.lit(1).cast("long") + F.floor((n - F.col("a")) / (3 + g % 8)))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(F.col("w"), source(i).cast("int")))
+    d = d.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+    out = periodic_runs.collapse_runs(d).withColumn("best", periodic_runs.longest_run(F.col("runs")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -87,6 +103,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
