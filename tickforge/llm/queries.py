@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, decontaminate, hard_negatives, language_id, line_crf, line_dedup, mixing, near_dedup, periodic_runs, quality_rules, tokens, warc
+from . import attention_lm, decontaminate, hard_negatives, language_id, line_crf, line_dedup, mixing, near_dedup, periodic_runs, quality_rules, token_files, tokens, warc
 from .common import scratch_path, table, words_of
 
 
@@ -82,6 +82,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("id") % 100 == 0)
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path, tokenizer = scratch_path(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer, end_id=2)
+    out = token_files.read_token_files(spark, path, token_files.WordEncoder(tokenizer).vocabulary)
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     d = table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words_of(F.col("text"))))
@@ -110,6 +119,7 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_files": op12_token_files,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
