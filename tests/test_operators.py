@@ -18,34 +18,122 @@ SCHEMA = "symbol string, trade_id long, ts timestamp, price decimal(18,8), quant
 
 
 def loop_bars(rows, threshold, keep_tail, lookback=None):
+    """(first, last, open, high, low, close, volume, dollars, ticks, deviation, seconds, threshold) of bars tick by tick."""
     out, cur, acc, sizes, limit = [], [], 0.0, [], threshold
+
+    def close():
+        p, q = np.array([float(r["price"]) for r in cur]), np.array([float(r["quantity"]) for r in cur])
+        seconds = (cur[-1]["ts"] - cur[0]["ts"]).total_seconds()
+        out.append((cur[0]["ts"], cur[-1]["ts"], p[0], p.max(), p.min(), p[-1], q.sum(), (p * q).sum(), len(cur), p.std(ddof=1) if len(p) > 1 else None, seconds, limit))
+
     for r in rows:
         cur.append(r)
         acc += float(r["price"]) * float(r["quantity"])
-        if acc >= limit:
-            out.append((len(cur), acc, limit))
+        if acc >= limit - 1e-9:
+            close()
             sizes = [*sizes, acc][-(lookback or 1):]
             cur, acc = [], 0.0
-            if lookback and len(out) >= 5:
+            if lookback and len(sizes) >= 5:
                 w = np.exp(np.linspace(-1, 0, len(sizes)))
                 limit = float((w * sizes).sum() / w.sum())
     if keep_tail and cur:
-        out.append((len(cur), acc, limit))
+        close()
     return out
 
 
-@pytest.mark.parametrize("keep_tail,lookback", [(True, None), (False, None), (False, 20)])
-def test_sequential_bars(spark, sf_dir, keep_tail, lookback):
-    t = ticks(spark, sf_dir)
-    b = bars.adaptive_bars(t, 5000.0, lookback) if lookback else bars.reset_bars(t, 5000.0, keep_tail)
-    got = b.orderBy("symbol", "bar_id").collect()
+BAR_COLUMNS = ["timestamp", "timestamp_close", "open", "high", "low", "close", "volume", "dollar_volume", "tick_count", "price_std", "duration_seconds", "threshold_used"]
+
+
+def same_bars(got, want, slowest):
+    assert len(got) == len(want)
+    for r, x in zip(got, want):
+        for c, v in zip(BAR_COLUMNS, x):
+            ok = r[c] == v if not isinstance(v, float) else abs(r[c] - v) <= 2e-6 * max(1, abs(v))
+            assert ok or v is None and (r[c] is None or r[c] != r[c]), (c, r, x)
+        span = max(x[10], 1.0) if slowest else x[10] or 1.0
+        assert abs(r["ticks_per_second"] - x[8] / span) < 1e-5 and abs(r["dollar_volume_per_second"] - x[7] / span) < 1e-3
+
+
+def by_symbol(t):
     by = {}
     for r in t.orderBy("symbol", "ts", "trade_id").collect():
         by.setdefault(r["symbol"], []).append(r)
-    want = [x for s in sorted(by) for x in loop_bars(by[s], 5000.0, keep_tail, lookback)]
-    assert [r["tick_count"] for r in got] == [x[0] for x in want]
-    assert np.allclose([r["dollar_volume"] for r in got], [x[1] for x in want])
-    assert np.allclose([r["threshold_used"] for r in got], [x[2] for x in want])
+    return [by[s] for s in sorted(by, key=lambda s: (s is not None, s))]
+
+
+@pytest.mark.parametrize("per_block", [1, 3, 64])
+@pytest.mark.parametrize("keep_tail", [True, False])
+def test_reset_bars_against_a_loop(spark, sf_dir, monkeypatch, keep_tail, per_block):
+    monkeypatch.setattr(bars, "BARS_PER_BLOCK", per_block)
+    t = ticks(spark, sf_dir)
+    got = bars.reset_bars(t, 5000.0, keep_tail).orderBy("symbol", "bar_id").collect()
+    same_bars(got, [x for s in by_symbol(t) for x in loop_bars(s, 5000.0, keep_tail)], False)
+    assert [r["bar_id"] for r in got if r["symbol"] == "click"] == list(range(sum(r["symbol"] == "click" for r in got)))
+
+
+def quick_ticks(spark, n, symbols, seed=0):
+    """Ticks a tenth of a second apart with ties in time, some of them worth nothing or more than a bar; one symbol is null."""
+    r = np.random.RandomState(seed)
+    t0 = datetime(2024, 1, 1)
+    price = np.round(r.choice([0.25, 1.0, 3.5, 700.0], n, p=[0.4, 0.3, 0.29, 0.01]), 2)
+    quantity = r.choice([0.0, 1.0, 2.0], n, p=[0.1, 0.6, 0.3])
+    rows = [(symbols[k % len(symbols)], k, t0 + timedelta(seconds=int(k // 3) * 0.1), __import__("decimal").Decimal(str(p)), __import__("decimal").Decimal(str(q)), bool(k % 2), t0.date()) for k, (p, q) in enumerate(zip(price, quantity))]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.mark.parametrize("per_block", [1, 2, 50])
+def test_reset_bars_of_dense_ticks(spark, monkeypatch, per_block):
+    monkeypatch.setattr(bars, "BARS_PER_BLOCK", per_block)
+    t = quick_ticks(spark, 3000, ["a", "a", None])
+    for threshold in (0.25, 4.0, 100.0, 1e9):
+        same_bars(bars.reset_bars(t, threshold).orderBy("symbol", "bar_id").collect(), [x for s in by_symbol(t) for x in loop_bars(s, threshold, True)], False)
+
+
+def test_block_maps_compose():
+    r = np.random.RandomState(3)
+    for _ in range(300):
+        n, limit = r.randint(1, 60), int(r.randint(1, 40))
+        worth = np.minimum(r.randint(0, 15, n), limit)
+        for open_ in range(limit):
+            acc, closed = open_, 0
+            for w in worth.tolist():
+                acc += w
+                if acc >= limit:
+                    acc, closed = 0, closed + 1
+            fits = [x for x in bars.block_map(worth, limit) if x[0] <= open_]
+            assert (fits[-1][1:] if fits else (0, open_ + worth.sum())) == (closed, acc)
+
+
+def test_a_symbols_reset_bars_are_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(bars, "BARS_PER_BLOCK", 4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        d = bars.reset_bar_ids(quick_ticks(spark, 2000, ["a"]), 20.0)
+        assert d.select(F.spark_partition_id()).distinct().count() > 1
+        # Only the blocks' totals and maps meet by symbol; ticks are dealt by blocks.
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        by = [x for x in plan.split("\n") if "Exchange hashpartitioning(" in x]
+        assert len(by) >= 3 and "price" not in "".join(x for x in by if "symbol" in x)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("lookback", [20, 6, 3])
+def test_adaptive_bars_against_a_loop(spark, sf_dir, lookback):
+    for t, threshold in ((ticks(spark, sf_dir), 5000.0), (quick_ticks(spark, 2000, ["a", "b"], 5), 12.0)):
+        got = bars.adaptive_bars(t, threshold, lookback).orderBy("symbol", "bar_id").collect()
+        same_bars(got, [x for s in by_symbol(t) for x in loop_bars(s, threshold, False, lookback)], True)
+        assert lookback >= 5 or {r["threshold_used"] for r in got} == {threshold}
+
+
+def test_rows_without_symbol_or_time_stay(spark):
+    t0 = datetime(2024, 1, 1)
+    rows = [("a", t0, 1), (None, t0, 2), ("a", None, 3), (None, None, 4), ("a", t0 + timedelta(days=3), 5), (None, t0 + timedelta(days=3), 6)]
+    d = spark.createDataFrame(rows, "symbol string, ts timestamp, trade_id long")
+    got = {r["trade_id"]: (r["s"], r["p"]) for r in prefix.previous(prefix.running_total(d, F.col("trade_id"), "s"), {"trade_id": "p"}).collect()}
+    assert got == {3: (3, None), 1: (4, 3), 5: (9, 1), 4: (4, None), 2: (6, 4), 6: (12, 2)}
+    y = {r["trade_id"]: r["y"] for r in prefix.decayed_sum(d, F.col("trade_id"), 0.5, "y").collect()}
+    assert y == {3: 3.0, 1: 2.5, 5: 6.25, 4: 4.0, 2: 4.0, 6: 8.0}
 
 
 def test_three_semantics_differ(spark):

@@ -11,9 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import dbl, ratio
 from ..plans.prefix import running_total
@@ -54,14 +56,17 @@ def floor_bars(ticks: DataFrame, measure: Column, threshold, unit: str = "day")
     return d.withColumn("bar_id", F.expr("cast(_cum div threshold as bigint)")).drop("_cum", "threshold")
 
 
-def bars_of(ticks: DataFrame) -> DataFrame:
-    """One row per (symbol, bar_id): prices, sizes, counts, side volumes, vwap and durations."""
+def bars_of(ticks: DataFrame, *more: Column) -> DataFrame:
+    """One row per (symbol, bar_id): prices, sizes, counts, side volumes, vwap and durations.
+
+    Rates divide by the duration, and by 1 where it is 0. more: further aggregates.
+    """
     at = F.struct("ts", "trade_id")
     p, q = F.col("price"), F.col("quantity")
     b = ticks.groupBy("symbol", "bar_id").agg(
         F.min("ts").alias("timestamp"), F.max("ts").alias("timestamp_close"), F.min_by("price", at).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", at).alias("close"),
         F.sum("quantity").alias("volume"), F.sum(p * q).alias("dollar_volume"), F.count("*").alias("tick_count"), dbl(F.stddev_samp(p.cast("double"))).alias("price_std"),
-        F.coalesce(F.sum(F.when(~F.col("is_buyer_maker"), q)), F.lit(0)).alias("buy_volume"), F.coalesce(F.sum(F.when(F.col("is_buyer_maker"), q)), F.lit(0)).alias("sell_volume"),
+        F.coalesce(F.sum(F.when(~F.col("is_buyer_maker"), q)), F.lit(0)).alias("buy_volume"), F.coalesce(F.sum(F.when(F.col("is_buyer_maker"), q)), F.lit(0)).alias("sell_volume"), *more,
     )
     seconds = (F.unix_micros("timestamp_close") - F.unix_micros("timestamp")) / F.lit(1e6)
     span = F.when(seconds == 0, F.lit(1.0)).otherwise(seconds)
@@ -131,10 +136,10 @@ class _Open:
 
     def close(self, symbol: str, threshold: float) -> tuple:
         seconds = (self.last - self.first) / np.timedelta64(1, "s")
-        span = seconds or 1.0
+        span = max(seconds, 1.0)
         since = np.nan if self.before is None else (self.first - self.before) / np.timedelta64(1, "s")
         row = (
-            symbol, self.id, self.first, self.last, self.open, self.high, self.low, self.close_, self.volume, self.dollars, self.n, self.dollars / self.volume if self.volume else np.nan,
+            symbol, self.id, self.first, self.last, self.open, self.high, self.low, self.close_, self.volume, self.dollars, self.n, self.dollars / self.volume if self.volume else 0.0,
             np.sqrt(self.m2 / (self.n - 1)) if self.n > 1 else np.nan, self.close_ - self.open, seconds, self.n / span, self.dollars / span, since, threshold,
         )
         self.before, self.acc, self.id = self.first, 0.0, self.id + 1
@@ -142,20 +147,34 @@ class _Open:
         return row
 
 
-def _sequential(ticks: DataFrame, threshold: float, keep_tail: bool, lookback: int | None) -> DataFrame:
-    """Walk each symbol's ticks in order, batch by batch; only the open bar and recent sizes are held."""
+def adapted(sizes: list[float]) -> float:
+    """The next threshold: the mean of the last bars' sizes, weighed exponentially, the newest most."""
+    w = np.exp(np.linspace(-1, 0, len(sizes)))
+    return float((w * sizes).sum() / w.sum())
+
+
+#: Bars that the threshold needs before it adapts.
+SETTLED = 5
+
+
+def adaptive_bars(ticks: DataFrame, initial: float, lookback: int = 20) -> DataFrame:
+    """Reset bars without tail whose threshold, once SETTLED bars are remembered, is the exponentially weighted mean size
+    of the last ``lookback`` ones; with a shorter lookback it never changes. Rates divide by one second at least.
+
+    Each threshold depends on all bars before it, so a symbol is sequential by definition: a sorted partition passes
+    through one function batch by batch, which holds the open bar's sums and the recent sizes only. Symbols are parallel.
+    """
     d = ticks.select("symbol", "ts", "trade_id", F.col("price").cast("double").alias("price"), F.col("quantity").cast("double").alias("quantity"))
     d = d.repartition("symbol").sortWithinPartitions("symbol", "ts", "trade_id")
+    names = [x.split()[0] for x in _BAR.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, bar, sizes, limit = None, _Open(), [], threshold
+        name, bar, sizes, limit = None, _Open(), [], initial
         for pdf in batches:
             out = []
             for symbol, g in pdf.groupby("symbol", sort=False):
                 if symbol != name:
-                    if keep_tail and bar.n:
-                        out.append(bar.close(name, limit))
-                    name, bar, sizes, limit = symbol, _Open(), [], threshold
+                    name, bar, sizes, limit = symbol, _Open(), [], initial
                 ts, p, q = g["ts"].to_numpy(), g["price"].to_numpy(), g["quantity"].to_numpy()
                 cum, i, base = np.cumsum(p * q), 0, 0.0
                 while i < len(p):
@@ -168,28 +187,146 @@ def _sequential(ticks: DataFrame, threshold: float, keep_tail: bool, lookback: i
                     row = bar.close(name, limit)
                     out.append(row)
                     i, base = j + 1, cum[j]
-                    if lookback:
-                        sizes = [*sizes, row[9]][-lookback:]
-                        if bar.id >= 5:
-                            w = np.exp(np.linspace(-1, 0, len(sizes)))
-                            limit = float((w * sizes).sum() / w.sum())
+                    sizes = [*sizes, row[9]][-lookback:]
+                    if len(sizes) >= SETTLED:
+                        limit = adapted(sizes)
             if out:
-                yield pd.DataFrame(out, columns=[x.split()[0] for x in _BAR.split(", ")])
-        if keep_tail and bar.n:
-            yield pd.DataFrame([bar.close(name, limit)], columns=[x.split()[0] for x in _BAR.split(", ")])
+                yield pd.DataFrame(out, columns=names)
 
     return d.mapInPandas(run, _BAR)
 
 
-def reset_bars(ticks: DataFrame, threshold: float, keep_tail: bool = True) -> DataFrame:
-    """Bars that close on the crossing tick. Sequential within a symbol, parallel across symbols; a very long open bar
-    is the only thing that grows in a task."""
-    return _sequential(ticks, threshold, keep_tail, None)
-
-
-def adaptive_bars(ticks: DataFrame, initial: float, lookback: int = 20) -> DataFrame:
-    """Reset bars without tail whose threshold, after 5 bars, is the exponentially weighted mean size of the last ones."""
-    return _sequential(ticks, initial, False, lookback)
+#: Bars that a block is aimed at: the map of a block has a piece for each of the ticks of one bar at most.
+BARS_PER_BLOCK = 64
+
+
+def _closings(worth: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, after): running sums of ticks, and for a bar opened at each tick (or just after the last) the tick after
+    the one that closes it, or a number beyond the end."""
+    sums = np.concatenate([[0], np.cumsum(worth)])
+    after = np.searchsorted(sums[1:], sums + limit, "left") + 1
+    after[after > len(worth)] = len(worth) + 1
+    return sums, after
+
+
+def block_map(worth: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
+    """Pieces (least, closed, open) of what a block does to the sum of the bar that it finds open: from a sum of ``least``
+    on, it closes so many bars and leaves one with the sum ``open``. Below all pieces nothing closes."""
+    n = len(worth)
+    sums, after = _closings(worth, limit)
+    # The first close is at one of the ticks up to the one that closes an empty bar.
+    closes = np.arange(1, min(int(after[0]), n) + 1)
+    closes = closes[sums[closes] > sums[closes - 1]]
+    if not len(closes):
+        return []
+    at, closed = closes.copy(), np.ones(len(closes), np.int64)
+    while True:
+        nxt = after[at]
+        go = nxt <= n
+        if not go.any():
+            break
+        at[go] = nxt[go]
+        closed[go] += 1
+    least, left = np.maximum(limit - sums[closes], 0), sums[n] - sums[at]
+    keep = np.ones(len(closes), bool)
+    # Closes that go on alike are one piece, which begins at the last of them.
+    keep[:-1] = (at[1:] != at[:-1]) | (closed[1:] != closed[:-1])
+    return list(zip(least[keep].tolist(), closed[keep].tolist(), left[keep].tolist()))[::-1]
+
+
+def _units(threshold: float) -> tuple[int, int]:
+    """(digits, limit): dollars count in 10**-digits, 8 digits or fewer where a block's sum would not fit 64 bits."""
+    digits = max(0, min(8, 17 - len(str(int(threshold * BARS_PER_BLOCK)))))
+    limit = round(threshold * 10**digits)
+    if limit < 1:
+        raise ValueError("the threshold must be positive")
+    return digits, limit
+
+
+def _blocked(ticks: DataFrame, threshold: float, unit: str) -> tuple[DataFrame, int]:
+    """(ticks with _worth and _block, limit): dollars as integers, cut to one bar's worth, in blocks of BARS_PER_BLOCK bars."""
+    digits, limit = _units(threshold)
+    worth = F.least(F.round(F.col("price") * F.col("quantity") * F.lit(10**digits).cast("decimal(9,0)")).cast("decimal(38,0)"), F.lit(limit).cast("decimal(38,0)"))
+    d = ticks.withColumn("_worth", F.coalesce(worth.cast("long"), F.lit(0).cast("long")))
+    d = running_total(d, F.col("_worth").cast("decimal(38,0)"), "_sum", unit=unit)
+    block = F.expr(f"cast((_sum - _worth) div {limit * BARS_PER_BLOCK} as long)")
+    return d.withColumn("_block", F.struct("symbol", block.alias("n"))).drop("_sum"), limit
+
+
+def reset_bar_ids(ticks: DataFrame, threshold: float, unit: str = "day") -> DataFrame:
+    """Ticks with the bar_id of bars that close on the crossing tick, and _worth, their share in it.
+
+    A bar begins where the one before it has closed, so bars depend on all ticks before them; yet a block of ticks only
+    maps the sum of the bar that it finds open to the sum of the one that it leaves. All blocks find their maps at once,
+    the maps are followed from block to block (a few rows a block: the only thing of a symbol that one task reads), and
+    with the sums that they begin with all blocks number their bars at once. A block takes 24 bytes of a task's memory
+    for each tick.
+    """
+    d, limit = _blocked(ticks, threshold, unit)
+
+    def pieces(key: tuple, t: pa.Table) -> pa.Table:
+        worth = _in_order(t).column("_worth").to_numpy()
+        rows = [(-1, 0, int(worth.sum())), *block_map(worth, limit)]
+        symbol, n = key[0].as_py().values()
+        return pa.table([pa.array([symbol] * len(rows), pa.string()), pa.array([n] * len(rows), pa.int64()), *(pa.array(c, pa.int64()) for c in zip(*rows))], ["symbol", "n", "least", "closed", "left"])
+
+    maps = d.select("_block", "ts", "trade_id", "_worth").groupBy("_block").applyInArrow(pieces, "symbol string, n long, least long, closed long, left long")
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, block, open_, bars = object(), None, 0, 0
+        out: list[tuple] = []
+        step = None
+        for batch in batches:
+            for s, b, least, closed, left in zip(*(c.to_pylist() for c in batch.columns)):
+                if (s, b) != (name, block):
+                    if step is not None:
+                        open_, bars = step[1], bars + step[0]
+                    if s != name:
+                        open_, bars = 0, 0
+                    name, block = s, b
+                    out.append((s, b, open_, bars))
+                # Pieces come by ascending least: the last one that is reached counts.
+                if least < 0:
+                    step = (0, open_ + left)
+                elif least <= open_:
+                    step = (closed, left)
+            if out:
+                cols = list(zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["symbol", "n", "_open", "_bars"])
+                out = []
+
+    entries = maps.repartition("symbol").sortWithinPartitions("symbol", "n", "least").mapInArrow(follow, "symbol string, n long, _open long, _bars long")
+    # Keys are structs, in which nulls are equal: ticks without a symbol are a symbol of their own.
+    d = d.join(entries.select(F.struct("symbol", "n").alias("_block"), "_open", "_bars"), "_block")
+    schema = T.StructType([*[f for f in d.schema if f.name not in ("_open", "_bars", "_block")], T.StructField("bar_id", T.LongType())])
+
+    def number(key: tuple, t: pa.Table) -> pa.Table:
+        t = _in_order(t)
+        worth, open_, bars = t.column("_worth").to_numpy(), t.column("_open")[0].as_py(), t.column("_bars")[0].as_py()
+        sums, after = _closings(worth, limit)
+        at = int(np.searchsorted(sums[1:], limit - open_, "left")) + 1
+        closes = []
+        while at <= len(worth):
+            closes.append(at)
+            at = int(after[at])
+        ids = bars + np.searchsorted(np.array(closes, np.int64), np.arange(1, len(worth) + 1), "left")
+        return t.drop_columns(["_open", "_bars", "_block"]).append_column("bar_id", pa.array(ids, pa.int64()))
+
+    return d.groupBy("_block").applyInArrow(number, schema)
+
+
+def _in_order(t: pa.Table) -> pa.Table:
+    return t.sort_by([("ts", "ascending"), ("trade_id", "ascending")])
+
+
+def reset_bars(ticks: DataFrame, threshold: float, keep_tail: bool = True, unit: str = "day") -> DataFrame:
+    """Bars that close on the crossing tick, parallel within a symbol (reset_bar_ids); the unfinished last bar stays or goes."""
+    d = reset_bar_ids(ticks, threshold, unit)
+    b = bars_of(d, F.sum(F.col("_worth").cast("decimal(38,0)")).alias("_sum"))
+    if not keep_tail:
+        b = b.where(F.col("_sum") >= _units(threshold)[1])
+    doubles = {c: F.col(c).cast("double") for c in ("open", "high", "low", "close", "volume", "dollar_volume", "price_change", "buy_volume", "sell_volume")}
+    return b.drop("_sum").withColumns(doubles).withColumn("threshold_used", F.lit(float(threshold)))
 
 
 def bar_statistics(bars: DataFrame) -> DataFrame:

@@ -62,9 +62,25 @@ def bar04_day(spark, d):
     return B.optimal_threshold(ticks(spark, d), target_bars_per_day=5.0)
 
 
-@query("bar05_adaptive_bars")
+#: Adaptive bars tick by tick: l holds the sizes of the last 20 bars, lim the threshold of the open one.
+ADAPTIVE_SQL = """, k AS (SELECT symbol, ts, cents, q, row_number() OVER (PARTITION BY symbol ORDER BY ts, trade_id) AS i FROM t),
+ z AS (SELECT * FROM (WITH RECURSIVE s AS (SELECT symbol, ts, cents, q, i, CAST(0 AS BIGINT) AS bar_id, CAST(cents * q AS BIGINT) AS acc, CAST([] AS DOUBLE[]) AS l, CAST(5000 AS DOUBLE) AS lim, cents * q / 100.0 >= 5000 AS done FROM k WHERE i = 1
+   UNION ALL SELECT symbol, ts, cents, q, i, bar_id, acc, l, lim, acc / 100.0 >= lim FROM (
+     SELECT *, CASE WHEN was AND len(l) >= 5 THEN list_sum(list_transform(l, lambda v, j: v * exp((j - len(l)) / CAST(len(l) - 1 AS DOUBLE)))) / list_sum(list_transform(l, lambda v, j: exp((j - len(l)) / CAST(len(l) - 1 AS DOUBLE)))) ELSE lim0 END AS lim FROM (
+       SELECT k.symbol, k.ts, k.cents, k.q, k.i, s.bar_id + CASE WHEN s.done THEN 1 ELSE 0 END AS bar_id, CAST(CASE WHEN s.done THEN 0 ELSE s.acc END + k.cents * k.q AS BIGINT) AS acc, s.done AS was, s.lim AS lim0,
+         CASE WHEN s.done THEN list_append(s.l, s.acc / 100.0)[-20:] ELSE s.l END AS l FROM s JOIN k ON k.symbol = s.symbol AND k.i = s.i + 1))) SELECT * FROM s)),
+ n AS (SELECT *, row_number() OVER (PARTITION BY symbol, bar_id ORDER BY i) AS a, row_number() OVER (PARTITION BY symbol, bar_id ORDER BY i DESC) AS z FROM z),
+ d AS (SELECT symbol, bar_id, min(ts) AS t0, max(ts) AS t1, max(CASE WHEN a = 1 THEN cents END) / 100.0 AS open, max(cents) / 100.0 AS high, min(cents) / 100.0 AS low, max(CASE WHEN z = 1 THEN cents END) / 100.0 AS close, CAST(sum(q) AS DOUBLE) AS volume,
+   sum(cents * q) / 100.0 AS dollar_volume, count(*) AS tick_count, stddev_samp(cents / 100.0) AS price_std, max(lim) AS threshold_used, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0 AS secs FROM n GROUP BY symbol, bar_id HAVING bool_or(done))
+"""
+
+
+@query("bar05_adaptive_bars", ADAPTIVE_SQL + """SELECT symbol, bar_id, t0 AS timestamp, t1 AS timestamp_close, open, high, low, close, volume, round(dollar_volume, 4) AS dollar_volume, tick_count, round(dollar_volume / volume, 6) AS vwap, round(price_std, 6) AS price_std, round(close - open, 6) AS price_change,
+ round(secs, 6) AS duration_seconds, round(tick_count / greatest(secs, 1.0), 6) AS ticks_per_second, round(dollar_volume / greatest(secs, 1.0), 4) AS dollar_volume_per_second, round((epoch_us(t0) - epoch_us(lag(t0) OVER (PARTITION BY symbol ORDER BY bar_id))) / 1000000.0, 6) AS time_since_last_bar, round(threshold_used, 4) AS threshold_used FROM d""")
 def bar05(spark, d):
-    return B.adaptive_bars(ticks(spark, d), 5_000.0)
+    b = B.adaptive_bars(ticks(spark, d), 5_000.0)
+    tidy = {c: dbl(F.nanvl(c, F.lit(None).cast("double")), 4 if c in ("dollar_volume", "dollar_volume_per_second", "threshold_used") else 6) for c in ("dollar_volume", "vwap", "price_std", "price_change", "duration_seconds", "ticks_per_second", "dollar_volume_per_second", "time_since_last_bar", "threshold_used")}
+    return b.withColumns(tidy)
 
 
 #: Bars that close on the crossing tick, tick by tick in cents; the shape of what comes out of both forms.
@@ -84,18 +100,24 @@ def bar06(spark, d):
     return reset_columns(B.reset_bars(ticks(spark, d), 5_000.0))
 
 
-_STATS = """, r AS (SELECT *, CAST(close AS DOUBLE) / CAST(lag(close) OVER (PARTITION BY symbol ORDER BY bar_id) AS DOUBLE) - 1 AS r FROM d)
+STATS_SQL = """, r AS (SELECT *, CAST(close AS DOUBLE) / CAST(lag(close) OVER (PARTITION BY symbol ORDER BY bar_id) AS DOUBLE) - 1 AS r FROM d)
 SELECT symbol, count(*) AS n_bars, round(avg(tick_count), 6) AS mean_ticks, round(stddev_samp(tick_count), 6) AS std_ticks, round(avg(volume), 6) AS mean_volume, round(avg(dollar_volume), 4) AS mean_dollars,
  round(avg(r), 6) AS mean_return, round(stddev_samp(r), 6) AS std_return, round(skewness(r), 4) AS skew_return, round(kurtosis(r), 3) AS kurtosis_return FROM r GROUP BY symbol"""
 _HEAD = _bars_sql("cents * q", 1_000_000).rsplit("\nSELECT symbol, bar_id, t0", 1)[0]
 
 
-@query("bar10_bar_statistics", _HEAD + _STATS)
+@query("bar10_bar_statistics", _HEAD + STATS_SQL)
 def bar10(spark, d):
     return B.bar_statistics(B.dollar_bars(ticks(spark, d), 10_000))
 
 
-@query("bar12_adaptive_stability")
+_FIXED = """, x AS (SELECT * FROM (WITH RECURSIVE s AS (SELECT symbol, cents, q, i, CAST(0 AS BIGINT) AS bar_id, CAST(cents * q AS BIGINT) AS acc FROM k WHERE i = 1
+   UNION ALL SELECT k.symbol, k.cents, k.q, k.i, s.bar_id + CASE WHEN s.acc >= 500000 THEN 1 ELSE 0 END, CAST(CASE WHEN s.acc >= 500000 THEN 0 ELSE s.acc END + k.cents * k.q AS BIGINT) FROM s JOIN k ON k.symbol = s.symbol AND k.i = s.i + 1) SELECT * FROM s)),
+ f AS (SELECT symbol, bar_id, count(*) AS tick_count FROM x GROUP BY symbol, bar_id HAVING sum(cents * q) >= 500000)
+"""
+
+
+@query("bar12_adaptive_stability", ADAPTIVE_SQL.rstrip() + _FIXED + """SELECT symbol, 'fixed' AS kind, count(*) AS n, round(stddev_samp(tick_count), 6) AS std_ticks FROM f GROUP BY symbol UNION ALL SELECT symbol, 'adaptive', count(*), round(stddev_samp(tick_count), 6) FROM d GROUP BY symbol""")
 def bar12(spark, d):
     t = ticks(spark, d)
     kinds = [("fixed", B.reset_bars(t, 5_000.0, keep_tail=False)), ("adaptive", B.adaptive_bars(t, 5_000.0))]

@@ -15,6 +15,7 @@ from ..registry import query
 from ..schema import ticks
 from ..sources import files, raw
 from ..streaming import analyzers, streams
+from .bars import ADAPTIVE_SQL, STATS_SQL
 from .quality import _BOOK, _VB, _VS, _win
 from .series import _C, _R, _W, _frac_sql, candles
 
@@ -342,6 +343,6 @@ def udf03(spark, d):
     return analyzers.on_agg_trades(r, _agg_json(ticks(spark, d)), F.col("symbol"), 3600).select("symbol", "bucket", "counter.trades", "counter.volume")
 
 
-@query("bar10_adaptive_statistics", None)
+@query("bar10_adaptive_statistics", ADAPTIVE_SQL.rstrip() + STATS_SQL.replace(" FROM r GROUP BY symbol", ", round(min(threshold_used), 6) AS threshold_min, round(max(threshold_used), 6) AS threshold_max, round(avg(threshold_used), 6) AS threshold_mean FROM r GROUP BY symbol"))
 def bar10(spark, d):
     return B.bar_statistics(B.adaptive_bars(ticks(spark, d), 5_000.0))
