@@ -53,32 +53,33 @@ class _Counts:
         distinct = first.sum(1)
         #: Where each block's entries begin; the last entry of a block is its escape.
         self.base = np.concatenate([[0], np.cumsum(distinct + 1)])
-        at = np.flatnonzero(first.ravel())
-        block = np.repeat(np.arange(n), distinct)
-        entry = np.arange(len(at)) + block
-        count = np.empty(len(at), np.int64)
+        at = np.flatnonzero(first.ravel()).astype(np.int32)
+        block = np.repeat(np.arange(n, dtype=np.int32), distinct)
+        entry = np.arange(len(at), dtype=np.int32) + block
+        count = np.empty(len(at), np.int32)
         count[:-1] = np.diff(at)
         if len(at):
             count[-1] = n * t - at[-1]
         last = self.base[1:] - 1
-        self.ids = np.full(self.base[-1], -1, np.int64)
+        self.ids = np.full(self.base[-1], -1, np.int32)
         self.ids[entry] = s.ravel()[at]
-        self.size = np.zeros(self.base[-1], np.int64)
+        self.size = np.zeros(self.base[-1], np.int32)
+        distinct = distinct.astype(np.int32)
         room = (1 << COUNTS) - distinct - 1
         self.size[entry] = 1 + count * room[block] // (t + distinct[block])
-        sums = np.concatenate([[0], np.cumsum(self.size)])
+        sums = np.concatenate([[0], np.cumsum(self.size, dtype=np.int64)])
         self.size[last] = (1 << COUNTS) - (sums[last] - sums[self.base[:-1]])
-        sums = np.cumsum(self.size) - self.size
-        self.start = sums - np.repeat(sums[self.base[:-1]], distinct + 1)
+        sums = np.cumsum(self.size, dtype=np.int64) - self.size
+        self.start = (sums - np.repeat(sums[self.base[:-1]], distinct + 1)).astype(np.int32)
         self.block, self.entry = block, entry
 
     def entries(self, ids: np.ndarray, vocabulary: int) -> np.ndarray:
         """The entry of each of ids (blocks, times), the escape for ids not seen."""
-        out = np.empty(ids.shape, np.int64)
+        out = np.empty(ids.shape, np.int32)
         step = max(1, DENSE // vocabulary)
         for a in range(0, len(ids), step):
             b = min(len(ids), a + step)
-            dense = np.repeat(self.base[a + 1 : b + 1] - 1, vocabulary)
+            dense = np.repeat((self.base[a + 1 : b + 1] - 1).astype(np.int32), vocabulary)
             e = self.entry[np.searchsorted(self.block, a) : np.searchsorted(self.block, b)]
             dense[self.ids[e] + (np.repeat(np.arange(a, b), np.diff(self.base[a : b + 1]) - 1) - a) * vocabulary] = e
             out[a:b] = dense[ids[a:b] + (np.arange(b - a) * vocabulary)[:, None]]
@@ -203,7 +204,7 @@ def decode_blocks(codes: list[bytes], lengths: np.ndarray, vocabulary: int) -> n
     """The ids (blocks, ids) of encode_blocks; lengths are descending. Broken codes give some ids, but always end."""
     n = len(codes)
     longest = int(lengths[0]) if n else 0
-    ids = np.zeros((n, longest), np.int64)
+    ids = np.zeros((n, longest), np.int32)
     sizes = np.array([len(c) // 4 for c in codes], np.int64)
     words = np.concatenate([np.frombuffer(b"".join(codes), "<u4").astype(U), np.zeros(2, U)])
     place = np.cumsum(sizes) - sizes
@@ -278,7 +279,7 @@ def decode_blocks(codes: list[bytes], lengths: np.ndarray, vocabulary: int) -> n
 def to_blocks(ids: np.ndarray, vocabulary: int) -> Iterator[tuple[int, bytes]]:
     """(number of ids, code) of each block of a sequence of ids."""
     n = -(-len(ids) // BLOCK)
-    rows = np.zeros((n, BLOCK), np.int64)
+    rows = np.zeros((n, BLOCK), np.int32)
     rows.ravel()[: len(ids)] = ids
     lengths = np.full(n, BLOCK, np.int64)
     if n:

@@ -35,9 +35,9 @@ HEAD = struct.Struct("<4sIIIIQQI")
 #: Ids of a segment: it ends with the document that reaches them. Segments of a file, at most.
 SEGMENT, PER_FILE = 1024 * range_coder.BLOCK, 4
 #: Words that are remembered with their ids, and the longest that are.
-MEMORY, LONG = 400_000, 40
+MEMORY, LONG = 200_000, 40
 #: Bytes of text that are split at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Rows of the segments' offsets that are broadcast, at most.
 MAX_SEGMENTS = 500_000
 
@@ -47,8 +47,8 @@ _words: dict = {}
 class WordEncoder:
     """Ids of whole texts from the ids of their words, which are encoded once each by the tokenizer's library.
 
-    Right for tokenizers that treat white space as an end of words and drop it: a word's ids don't depend on its
-    neighbours. Special strings hold no white space, so they are found inside words as in whole texts.
+    Right for tokenizers that treat white space as an end of words, mark it by </w> and drop it: a word's ids don't
+    depend on its neighbours. Special strings hold no white space, so they are found inside words as in whole texts.
     """
 
     def __init__(self, path: str):
@@ -57,11 +57,30 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        #: Whether an id ends a word; words of ASCII letters have one such id each, their last.
+        self.ends = np.zeros(self.vocabulary, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids, self.bounds = [np.zeros(0, np.int32)], [0]
+        self.ids, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode words that aren't known: those of letters many at a time, the others each by itself."""
+        plain = [w for w in new if w.isascii() and w.isalpha()]
+        other = [w for w in new if not (w.isascii() and w.isalpha())]
+        lines = [" ".join(plain[k : k + 256]) for k in range(0, len(plain), 256)]
+        got = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        flat = np.concatenate([np.zeros(0, np.int32), *got])
+        last = np.flatnonzero(self.ends[flat]) + 1
+        if len(last) != len(plain):
+            raise ValueError("the tokenizer doesn't end every word by an id of its own")
+        more = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
+        sizes = np.cumsum([len(x) for x in more], dtype=np.int64) + len(flat)
+        self.known.update(zip([*plain, *other], range(len(self.bounds) - 1, len(self.bounds) - 1 + len(new))))
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.concatenate([last, sizes]).astype(np.int64)])
+        self.ids = np.concatenate([self.ids, flat, np.array([i for x in more for i in x], np.int32)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts): the ids of all texts in a row, and how many of them are each text's."""
@@ -72,20 +91,14 @@ class WordEncoder:
             self._clear()
         known = self.known
         new = [w for w in names if w not in known]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = len(self.bounds) - 1
-            got = e.ids
-            self.ids.append(np.array(got, np.int32))
-            self.bounds.append(self.bounds[-1] + len(got))
-        flat, bounds = np.concatenate(self.ids), np.array(self.bounds)
-        self.ids = [flat]
+        self._learn(new)
         at = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
-        if any(len(w) > LONG for w in new):
-            for w in [w for w in new if len(w) > LONG]:
+        for w in new:
+            if len(w) > LONG:
                 del known[w]
-        begin, size = bounds[at][index], (bounds[at + 1] - bounds[at])[index]
+        begin, size = self.bounds[at][index], (self.bounds[at + 1] - self.bounds[at])[index]
         ends = np.cumsum(size)
-        out = flat[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        out = self.ids[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
         ends = np.concatenate([[0], ends])[lists.offsets.to_numpy()]
         return out, np.diff(ends)
 
