@@ -108,53 +108,94 @@ def optimal_threshold(ticks: DataFrame, target_bars: int | None = None, target_b
     return d.select("symbol", dbl(F.when(F.col("_d") < 0.01, short).otherwise(F.col("_t") / F.floor(F.lit(target_bars_per_day) * F.col("_d")))).alias("threshold"))
 
 
-_BAR = "symbol string, bar_id long, timestamp timestamp, timestamp_close timestamp, open double, high double, low double, close double, volume double, dollar_volume double, tick_count long, vwap double, price_std double, price_change double, duration_seconds double, ticks_per_second double, dollar_volume_per_second double, time_since_last_bar double, threshold_used double"
+def adapted(sizes: list[float]) -> float:
+    """The next threshold: the mean of the last bars' sizes, weighed exponentially, the newest most."""
+    w = np.exp(np.linspace(-1, 0, len(sizes)))
+    return float((w * sizes).sum() / w.sum())
 
 
-class _Open:
-    """The unfinished bar of one symbol: running sums only, whatever its number of ticks."""
+#: Bars that the threshold needs before it adapts.
+SETTLED = 5
+
 
-    def __init__(self):
-        self.id, self.acc, self.before = 0, 0.0, None
+class Sampler:
+    """The open bar of one symbol, fed with ticks in order: running sums only, whatever its number of ticks.
+
+    Closing is decided on dollars in whole units (10**-digits), so it doesn't depend on how ticks come in batches. With a
+    lookback the threshold follows the sizes of the last bars, which ``sizes`` holds. Rates divide by ``least`` seconds
+    at least, and by 1 where a bar takes no time.
+    """
+
+    STATE = "id long, acc double, before long, n long, first long, last long, open double, close_ double, high double, low double, volume double, dollars double, mean double, m2 double, limit double"
+    ROW = "bar_id long, timestamp long, timestamp_close long, open double, high double, low double, close double, volume double, dollar_volume double, tick_count long, vwap double, price_std double, price_change double, duration_seconds double, ticks_per_second double, dollar_volume_per_second double, time_since_last_bar double, threshold_used double"
+
+    def __init__(self, threshold: float, digits: int, lookback: int | None = None, least: float = 0.0):
+        self.digits, self.lookback, self.least, self.sizes = digits, lookback, least, []
+        self.id, self.acc, self.before, self.limit = 0, 0.0, None, float(threshold)
         self._clear()
 
     def _clear(self) -> None:
         self.n, self.first, self.last, self.open, self.close_, self.high, self.low = 0, None, None, 0.0, 0.0, -np.inf, np.inf
-        self.volume = self.dollars = self.mean = self.m2 = 0.0
+        self.volume = self.dollars = self.mean = self.m2 = self.acc = 0.0
+
+    def state(self) -> tuple:
+        return tuple(getattr(self, x.split()[0]) for x in self.STATE.split(", "))
+
+    def resume(self, state: tuple, sizes: list[float]) -> None:
+        for x, v in zip(self.STATE.split(", "), state):
+            setattr(self, x.split()[0], v)
+        self.sizes = sizes
 
-    def add(self, ts: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
-        k, mean = len(p), p.mean()
+    def _add(self, ts: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
+        k, mean = len(p), float(p.mean())
         if not self.n:
-            self.first, self.open = ts[0], p[0]
+            self.first, self.open = int(ts[0]), float(p[0])
         # Means and squared deviations of two parts combine.
         gap = mean - self.mean
-        self.m2 += ((p - mean) ** 2).sum() + gap * gap * self.n * k / (self.n + k)
+        self.m2 += float(((p - mean) ** 2).sum()) + gap * gap * self.n * k / (self.n + k)
         self.mean += gap * k / (self.n + k)
         self.n += k
-        self.last, self.close_, self.high, self.low = ts[-1], p[-1], max(self.high, p.max()), min(self.low, p.min())
-        self.volume, self.dollars = self.volume + q.sum(), self.dollars + (p * q).sum()
-
-    def close(self, symbol: str, threshold: float) -> tuple:
-        seconds = (self.last - self.first) / np.timedelta64(1, "s")
-        span = max(seconds, 1.0)
-        since = np.nan if self.before is None else (self.first - self.before) / np.timedelta64(1, "s")
+        self.last, self.close_, self.high, self.low = int(ts[-1]), float(p[-1]), max(self.high, float(p.max())), min(self.low, float(p.min()))
+        self.volume, self.dollars = self.volume + float(q.sum()), self.dollars + float((p * q).sum())
+
+    def close(self) -> tuple:
+        """The open bar as a row of ROW; the next one begins."""
+        seconds = (self.last - self.first) / 1e6
+        span = max(seconds, self.least) or 1.0
+        since = None if self.before is None else (self.first - self.before) / 1e6
         row = (
-            symbol, self.id, self.first, self.last, self.open, self.high, self.low, self.close_, self.volume, self.dollars, self.n, self.dollars / self.volume if self.volume else 0.0,
-            np.sqrt(self.m2 / (self.n - 1)) if self.n > 1 else np.nan, self.close_ - self.open, seconds, self.n / span, self.dollars / span, since, threshold,
+            self.id, self.first, self.last, self.open, self.high, self.low, self.close_, self.volume, self.dollars, self.n, self.dollars / self.volume if self.volume else None,
+            float(np.sqrt(self.m2 / (self.n - 1))) if self.n > 1 else None, self.close_ - self.open, seconds, self.n / span, self.dollars / span, since, self.limit,
         )
-        self.before, self.acc, self.id = self.first, 0.0, self.id + 1
+        if self.lookback:
+            self.sizes = [*self.sizes, self.dollars][-self.lookback :]
+            if len(self.sizes) >= SETTLED:
+                self.limit = adapted(self.sizes)
+        self.before, self.id = self.first, self.id + 1
         self._clear()
         return row
 
-
-def adapted(sizes: list[float]) -> float:
-    """The next threshold: the mean of the last bars' sizes, weighed exponentially, the newest most."""
-    w = np.exp(np.linspace(-1, 0, len(sizes)))
-    return float((w * sizes).sum() / w.sum())
-
-
-#: Bars that the threshold needs before it adapts.
-SETTLED = 5
+    def feed(self, ts: np.ndarray, p: np.ndarray, q: np.ndarray, worth: np.ndarray) -> list[tuple]:
+        """The bars that these ticks close; ts in microseconds, worth in units."""
+        sums, i, base, out = np.cumsum(worth), 0, 0.0, []
+        while i < len(p):
+            # One step a bar: the crossing tick is found in the running sums.
+            j = int(np.searchsorted(sums, base + round(self.limit * 10**self.digits) - self.acc, "left"))
+            if j >= len(p):
+                self._add(ts[i:], p[i:], q[i:])
+                self.acc += float(sums[-1] - base)
+                break
+            self._add(ts[i : j + 1], p[i : j + 1], q[i : j + 1])
+            out.append(self.close())
+            i, base = j + 1, sums[j]
+        return out
+
+
+def fed_ticks(ticks: DataFrame, digits: int) -> DataFrame:
+    """(symbol, ts, trade_id, price, quantity, worth) as a Sampler takes them; ticks without price or quantity are left out."""
+    worth = F.round(F.col("price") * F.col("quantity") * F.lit(10**digits).cast("decimal(9,0)")).cast("double")
+    p, q = F.col("price").cast("double"), F.col("quantity").cast("double")
+    return ticks.where(F.col("price").isNotNull() & F.col("quantity").isNotNull()).select("symbol", F.unix_micros("ts").alias("ts"), "trade_id", p.alias("price"), q.alias("quantity"), worth.alias("worth"))
 
 
 def adaptive_bars(ticks: DataFrame, initial: float, lookback: int = 20) -> DataFrame:
@@ -163,37 +204,30 @@ def adaptive_bars(ticks: DataFrame, initial: float, lookback: int = 20) -> DataF
 
     Each threshold depends on all bars before it, so a symbol is sequential by definition: a sorted partition passes
     through one function batch by batch, which holds the open bar's sums and the recent sizes only. Symbols are parallel.
+    Ticks without a price or quantity are left out.
     """
-    d = ticks.select("symbol", "ts", "trade_id", F.col("price").cast("double").alias("price"), F.col("quantity").cast("double").alias("quantity"))
-    d = d.repartition("symbol").sortWithinPartitions("symbol", "ts", "trade_id")
-    names = [x.split()[0] for x in _BAR.split(", ")]
+    digits = _units(initial)[0]
+    d = fed_ticks(ticks, digits).repartition("symbol").sortWithinPartitions("symbol", "ts", "trade_id")
+    names = ["symbol", *(x.split()[0] for x in Sampler.ROW.split(", "))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, bar, sizes, limit = None, _Open(), [], initial
+        name, bar = object(), None
         for pdf in batches:
             out = []
-            for symbol, g in pdf.groupby("symbol", sort=False):
+            for symbol, g in pdf.groupby("symbol", sort=False, dropna=False):
+                symbol = None if pd.isna(symbol) else symbol
                 if symbol != name:
-                    name, bar, sizes, limit = symbol, _Open(), [], initial
-                ts, p, q = g["ts"].to_numpy(), g["price"].to_numpy(), g["quantity"].to_numpy()
-                cum, i, base = np.cumsum(p * q), 0, 0.0
-                while i < len(p):
-                    j = int(np.searchsorted(cum, base + limit - bar.acc, "left"))
-                    if j >= len(p):
-                        bar.add(ts[i:], p[i:], q[i:])
-                        bar.acc += cum[-1] - base
-                        break
-                    bar.add(ts[i : j + 1], p[i : j + 1], q[i : j + 1])
-                    row = bar.close(name, limit)
-                    out.append(row)
-                    i, base = j + 1, cum[j]
-                    sizes = [*sizes, row[9]][-lookback:]
-                    if len(sizes) >= SETTLED:
-                        limit = adapted(sizes)
+                    name, bar = symbol, Sampler(initial, digits, lookback, least=1.0)
+                out += [(name, *row) for row in bar.feed(*(g[c].to_numpy() for c in ("ts", "price", "quantity", "worth")))]
             if out:
                 yield pd.DataFrame(out, columns=names)
 
-    return d.mapInPandas(run, _BAR)
+    return bar_times(d.mapInPandas(run, "symbol string, " + Sampler.ROW))
+
+
+def bar_times(bars: DataFrame) -> DataFrame:
+    """Rows of a Sampler with its microseconds as timestamps."""
+    return bars.withColumns({c: F.timestamp_micros(c) for c in ("timestamp", "timestamp_close")})
 
 
 #: Bars that a block is aimed at: the map of a block has a piece for each of the ticks of one bar at most.
