@@ -291,3 +291,23 @@ def test_decayed_sums_and_islands_of_a_dense_day(spark):
             assert abs(g - y) <= 1e-9 * y
     got = series.islands(d).orderBy("island_start").collect()
     assert [r["n"] for r in got] == [4000, 4000, 4000] and got[0]["island_start"] == rows[0][2]
+
+
+@pytest.mark.parametrize("small", [1, 20, 100_000])
+def test_exact_quantiles(spark, small):
+    from tickforge.operators.selection import exact_quantiles
+
+    r = np.random.RandomState(8)
+    groups = {
+        "normal": r.randn(700), "ties": r.choice([1.0, 2.0], 500, p=[0.97, 0.03]), "wide": 10.0 ** r.uniform(-300, 300, 400), "one": np.array([5.0]), "same": np.full(300, -2.5), "tail": np.concatenate([r.rand(300), [1e18]]), None: r.randint(0, 9, 250).astype(float),
+    }
+    rows = [(k, float(v)) for k, x in groups.items() for v in x] + [("normal", None), ("empty", None)]
+    at = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p951": 0.951, "p100": 1.0}
+    d = spark.createDataFrame(rows, "symbol string, v double")
+    got = {x["symbol"]: x for x in exact_quantiles(d, "v", at, small=small).collect()}
+    assert set(got) == set(groups)
+    for k, x in groups.items():
+        for n, p in at.items():
+            want = np.quantile(x, p)
+            assert abs(got[k][n] - want) <= 1e-9 * abs(want), (k, n)
+    assert exact_quantiles(d.limit(0), "v", at).count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bps, clamped_bin, dbl, ratio
+from .selection import exact_quantiles
 from .stats import buy, dollar_imbalance, sell, sum_if, vwap
 
 
@@ -232,7 +233,7 @@ def large_and_small(ticks: DataFrame, seconds: int = 86400, small: float = 0.25,
     how many trades are over two running deviations (expanding_outliers)."""
     d = with_bucket(ticks, seconds).withColumn("_q", F.col("quantity").cast("double"))
     w = W.partitionBy("symbol", "bucket")
-    cuts = d.groupBy("symbol", "bucket").agg(F.percentile("_q", F.lit(small)).alias("_a"), F.percentile("_q", F.lit(large)).alias("_z"))
+    cuts = exact_quantiles(d, "_q", {"_a": small, "_z": large}, ("symbol", "bucket"))
     run = w.orderBy("ts", "trade_id").rowsBetween(W.unboundedPreceding, 0)
     z = F.try_divide(F.col("_q") - F.avg("_q").over(run), F.when(F.stddev_pop("_q").over(run) > 1e-9, F.stddev_pop("_q").over(run)))
     d = d.withColumn("_big", (F.abs(F.round(z, 5)) > 2) & (F.count("*").over(run) > 20)).join(cuts, ["symbol", "bucket"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bucket_start, dbl, ratio, side
+from .selection import exact_quantiles
 
 
 def _at() -> Column:
@@ -177,14 +178,21 @@ def data_density(ticks: DataFrame) -> DataFrame:
 def describe(df: DataFrame, column: str, key: str = "symbol") -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles with linear interpolation, maximum."""
     x = F.col(column).cast("double")
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75), F.lit(0.95)))
-    d = df.groupBy(key).agg(F.count(x).alias("n"), dbl(F.avg(x)).alias("mean"), dbl(F.stddev_samp(x)).alias("std"), dbl(F.min(x)).alias("min"), q.alias("_q"), dbl(F.max(x)).alias("max"))
-    return d.select(key, "n", "mean", "std", "min", *[dbl(F.get("_q", F.lit(i))).alias(n) for i, n in enumerate(("p25", "p50", "p75", "p95"))], "max")
+    d = df.groupBy(key).agg(F.count(x).alias("n"), dbl(F.avg(x)).alias("mean"), dbl(F.stddev_samp(x)).alias("std"), dbl(F.min(x)).alias("min"), dbl(F.max(x)).alias("max"))
+    at = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+    return _with_quantiles(d, df, column, key, at).select(key, "n", "mean", "std", "min", *at, "max")
 
 
 def series_stats(df: DataFrame, column: str, key: str = "symbol") -> DataFrame:
+    """Count, mean, population deviation, extremes, sum and exact quartiles."""
     x = F.col(column).cast("double")
-    return df.groupBy(key).agg(F.count(x).alias("n"), dbl(F.avg(x)).alias("mean"), dbl(F.stddev_pop(x)).alias("std_pop"), dbl(F.min(x)).alias("min"), dbl(F.max(x)).alias("max"), dbl(F.sum(x), 4).alias("sum"), dbl(F.percentile(x, F.lit(0.5))).alias("median"))
+    d = df.groupBy(key).agg(F.count(x).alias("n"), dbl(F.avg(x)).alias("mean"), dbl(F.stddev_pop(x)).alias("std_pop"), dbl(F.min(x)).alias("min"), dbl(F.max(x)).alias("max"), dbl(F.sum(x), 4).alias("sum"))
+    return _with_quantiles(d, df, column, key, {"median": 0.5, "p25": 0.25, "p75": 0.75})
+
+
+def _with_quantiles(stats: DataFrame, df: DataFrame, column: str, key: str, at: dict[str, float]) -> DataFrame:
+    q = exact_quantiles(df, column, at, (key,)).select(F.col(key).alias("_k"), *[dbl(n).alias(n) for n in at])
+    return stats.join(q, stats[key].eqNullSafe(q["_k"]), "left").drop("_k")
 
 
 def correlations(df: DataFrame, columns: list[str], key: str = "symbol") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import dbl
 from ..operators import stats as S
 from ..operators import ticks as K
+from ..operators.selection import exact_quantiles
 from ..registry import query
 from ..schema import table, ticks
 
@@ -279,7 +280,27 @@ def agg34(spark, d):
 
 @query("agg35_series_stats", "SELECT symbol, count(*) AS n, round(avg(cents) / 100, 6) AS mean, round(stddev_pop(cents / 100.0), 6) AS std_pop, round(min(cents) / 100.0, 6) AS min, round(max(cents) / 100.0, 6) AS max, round(sum(cents) / 100.0, 4) AS sum, round(quantile_cont(cents / 100.0, 0.5), 6) AS median FROM t GROUP BY symbol")
 def agg35(spark, d):
-    return S.series_stats(ticks(spark, d), "price")
+    return S.series_stats(ticks(spark, d), "price").drop("p25", "p75")
+
+
+@query("agg29_exact_quantiles", "SELECT symbol, date, round(quantile_cont(CAST(price AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST(price AS DOUBLE), 0.5), 6) AS p50, round(quantile_cont(CAST(price AS DOUBLE), 0.75), 6) AS p75, round(quantile_cont(CAST(price AS DOUBLE), 0.95), 6) AS p95 FROM t GROUP BY symbol, date")
+def agg29(spark, d):
+    q = exact_quantiles(ticks(spark, d), "price", {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}, ("symbol", "date"))
+    return q.select("symbol", "date", *[dbl(c).alias(c) for c in ("p25", "p50", "p75", "p95")])
+
+
+@query("agg29_refined_quantiles", "SELECT l_returnflag AS flag, round(quantile_cont(l_extendedprice, 0.01), 6) AS p01, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.99), 6) AS p99 FROM lineitem GROUP BY 1", raw=True)
+def agg29_refined(spark, d):
+    """Large groups: buckets are refined until 1,000 rows are left of each."""
+    t = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("flag"), "l_extendedprice")
+    q = exact_quantiles(t, "l_extendedprice", {"p01": 0.01, "p50": 0.5, "p99": 0.99}, ("flag",), small=1000)
+    return q.select("flag", *[dbl(c).alias(c) for c in ("p01", "p50", "p99")])
+
+
+@query("agg35_series_quartiles", "SELECT symbol, round(quantile_cont(cents * q / 100.0, 0.25), 6) AS p25, round(quantile_cont(cents * q / 100.0, 0.5), 6) AS median, round(quantile_cont(cents * q / 100.0, 0.75), 6) AS p75, round(stddev_pop(cents * q / 100.0), 6) AS std_pop FROM t GROUP BY symbol")
+def agg35_quartiles(spark, d):
+    t = ticks(spark, d).withColumn("worth", F.col("price") * F.col("quantity"))
+    return S.series_stats(t, "worth").select("symbol", "p25", "median", "p75", "std_pop")
 
 
 @query("top02_latest_trades", "SELECT symbol, trade_id, ts FROM t ORDER BY ts DESC, trade_id DESC LIMIT 100")

@@ -18,6 +18,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read back: lineage ends here, whatever executors are lost later."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_ticks(spark: SparkSession, path: str, symbol: str | None = None, start_date: str | None = None, end_date: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """Ticks under symbol=/date= folders. Symbol and dates prune folders, columns prune the scan; a missing path is an error."""
     df = spark.read.schema(TICKS).parquet(path)
