@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import dbl, ratio
+from ..plans.chains import chained
 from ..plans.prefix import running_total
 
 
@@ -298,59 +299,21 @@ def reset_bar_ids(ticks: DataFrame, threshold: float, unit: str = "day") -> Data
     """
     d, limit = _blocked(ticks, threshold, unit)
 
-    def pieces(key: tuple, t: pa.Table) -> pa.Table:
-        worth = _in_order(t).column("_worth").to_numpy()
-        rows = [(-1, 0, int(worth.sum())), *block_map(worth, limit)]
-        symbol, n = key[0].as_py().values()
-        return pa.table([pa.array([symbol] * len(rows), pa.string()), pa.array([n] * len(rows), pa.int64()), *(pa.array(c, pa.int64()) for c in zip(*rows))], ["symbol", "n", "least", "closed", "left"])
-
-    maps = d.select("_block", "ts", "trade_id", "_worth").groupBy("_block").applyInArrow(pieces, "symbol string, n long, least long, closed long, left long")
-
-    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, block, open_, bars = object(), None, 0, 0
-        out: list[tuple] = []
-        step = None
-        for batch in batches:
-            for s, b, least, closed, left in zip(*(c.to_pylist() for c in batch.columns)):
-                if (s, b) != (name, block):
-                    if step is not None:
-                        open_, bars = step[1], bars + step[0]
-                    if s != name:
-                        open_, bars = 0, 0
-                    name, block = s, b
-                    out.append((s, b, open_, bars))
-                # Pieces come by ascending least: the last one that is reached counts.
-                if least < 0:
-                    step = (0, open_ + left)
-                elif least <= open_:
-                    step = (closed, left)
-            if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["symbol", "n", "_open", "_bars"])
-                out = []
-
-    entries = maps.repartition("symbol").sortWithinPartitions("symbol", "n", "least").mapInArrow(follow, "symbol string, n long, _open long, _bars long")
-    # Keys are structs, in which nulls are equal: ticks without a symbol are a symbol of their own.
-    d = d.join(entries.select(F.struct("symbol", "n").alias("_block"), "_open", "_bars"), "_block")
-    schema = T.StructType([*[f for f in d.schema if f.name not in ("_open", "_bars", "_block")], T.StructField("bar_id", T.LongType())])
-
-    def number(key: tuple, t: pa.Table) -> pa.Table:
-        t = _in_order(t)
-        worth, open_, bars = t.column("_worth").to_numpy(), t.column("_open")[0].as_py(), t.column("_bars")[0].as_py()
-        sums, after = _closings(worth, limit)
-        at = int(np.searchsorted(sums[1:], limit - open_, "left")) + 1
+    def pieces(t: pa.Table) -> list[tuple[int, int, int]]:
+        worth = t.column("_worth").to_numpy()
+        return [(-1, 0, int(worth.sum())), *block_map(worth, limit)]
+
+    def number(t: pa.Table, open_: int) -> np.ndarray:
+        worth = t.column("_worth").to_numpy()
+        _, after = _closings(worth, limit)
+        at = int(np.searchsorted(np.cumsum(worth), limit - open_, "left")) + 1
         closes = []
         while at <= len(worth):
             closes.append(at)
             at = int(after[at])
-        ids = bars + np.searchsorted(np.array(closes, np.int64), np.arange(1, len(worth) + 1), "left")
-        return t.drop_columns(["_open", "_bars", "_block"]).append_column("bar_id", pa.array(ids, pa.int64()))
-
-    return d.groupBy("_block").applyInArrow(number, schema)
-
+        return np.searchsorted(np.array(closes, np.int64), np.arange(1, len(worth) + 1), "left")
 
-def _in_order(t: pa.Table) -> pa.Table:
-    return t.sort_by([("ts", "ascending"), ("trade_id", "ascending")])
+    return chained(d, ["_worth"], pieces, number, 0, "bar_id")
 
 
 def reset_bars(ticks: DataFrame, threshold: float, keep_tail: bool = True, unit: str = "day") -> DataFrame:

@@ -125,30 +125,27 @@ def value_area(prof: DataFrame, bins: int = 20, share: float = 0.7) -> DataFrame
 
 
 def volume_clusters(ticks: DataFrame, seconds: int = 86400, piece: int = 3600) -> DataFrame:
-    """Volumes of short pieces inside a window: mean, population deviation, extremes, bursts and quiet pieces (2 std)."""
+    """Volumes of short pieces inside a window: mean, population deviation, extremes, bursts and quiet pieces (2 std),
+    the share of bursts, and the means of the first and the second half of the pieces."""
     s = ticks.groupBy("symbol", F.window("ts", f"{seconds} seconds").start.alias("bucket"), F.floor(F.unix_seconds("ts") / F.lit(piece)).alias("piece")).agg(F.sum("quantity").cast("double").alias("v"))
     w = W.partitionBy("symbol", "bucket")
-    s = s.withColumn("_m", F.avg("v").over(w)).withColumn("_s", F.stddev_pop("v").over(w))
-    return s.groupBy("symbol", "bucket").agg(F.count("*").alias("pieces"), dbl(F.avg("v")).alias("mean"), dbl(F.stddev_pop("v")).alias("std"), dbl(F.max("v")).alias("max"), dbl(F.min("v")).alias("min"), F.count_if(F.col("v") > F.col("_m") + 2 * F.col("_s")).alias("bursts"), F.count_if(F.col("v") < F.col("_m") - 2 * F.col("_s")).alias("quiet"))
+    s = s.withColumn("_m", F.avg("v").over(w)).withColumn("_s", F.stddev_pop("v").over(w)).withColumn("_k", F.row_number().over(w.orderBy("piece"))).withColumn("_n", F.count("*").over(w))
+    bursts, early = F.count_if(F.col("v") > F.col("_m") + 2 * F.col("_s")), F.col("_k") <= F.floor(F.col("_n") / 2)
+    return s.groupBy("symbol", "bucket").agg(
+        F.count("*").alias("pieces"), dbl(F.avg("v")).alias("mean"), dbl(F.stddev_pop("v")).alias("std"), dbl(F.max("v")).alias("max"), dbl(F.min("v")).alias("min"), bursts.alias("bursts"), F.count_if(F.col("v") < F.col("_m") - 2 * F.col("_s")).alias("quiet"),
+        dbl(bursts / F.count("*")).alias("burst_rate"), dbl(F.avg(F.when(early, F.col("v")))).alias("first_half"), dbl(F.avg(F.when(~early, F.col("v")))).alias("second_half"),
+    )
 
 
 def momentum(ticks: DataFrame, seconds: int = 86400, k: int = 10) -> DataFrame:
-    """Relative price change over a window's last k trades, and its difference to that of the k trades before."""
+    """Relative price change over a window's last k trades, its difference to that of the k trades before, and the
+    window's trades, vwap and the population deviation of its price changes."""
     d = with_bucket(ticks, seconds)
-    d = d.withColumn("_k", F.row_number().over(W.partitionBy("symbol", "bucket").orderBy(F.desc("ts"), F.desc("trade_id"))))
-    at = lambda i: F.max(F.when(F.col("_k") == i, F.col("price").cast("double")))
+    late, p = W.partitionBy("symbol", "bucket").orderBy(F.desc("ts"), F.desc("trade_id")), F.col("price").cast("double")
+    d = d.withColumn("_k", F.row_number().over(late)).withColumn("_r", ratio(p - F.lead(p).over(late), F.lead(p).over(late)))
+    at = lambda i: F.max(F.when(F.col("_k") == i, p))
     now, before = ratio(at(1) - at(k), at(k)), ratio(at(k + 1) - at(2 * k), at(2 * k))
-    return d.groupBy("symbol", "bucket").agg(dbl(now).alias("momentum"), dbl(now - before).alias("acceleration"))
-
-
-def trailing_windows(ticks: DataFrame, as_of, column: str = "price", sizes: tuple = (3600, 21600, 86400)) -> DataFrame:
-    """Statistics of a metric over several trailing windows that end at as_of; one scan, one row per size and symbol."""
-    end = F.lit(as_of).cast("timestamp")
-    d = ticks.where(F.col("ts") <= end).withColumn("window_s", F.explode(F.array(*[F.lit(s) for s in sizes])))
-    d = d.where(F.unix_micros("ts") >= F.unix_micros(end) - F.col("window_s") * F.lit(1_000_000).cast("long"))
-    v, at = F.col(column).cast("double"), F.struct("ts", "trade_id")
-    first, last = F.min_by(v, at), F.max_by(v, at)
-    return d.groupBy("symbol", "window_s").agg(F.count("*").alias("n"), dbl(F.avg(v)).alias("mean"), dbl(F.stddev_pop(v)).alias("std"), dbl(F.min(v)).alias("min"), dbl(F.max(v)).alias("max"), dbl(F.percentile(v, F.lit(0.5))).alias("median"), dbl(first).alias("first"), dbl(last).alias("last"), dbl(last - first).alias("change"))
+    return d.groupBy("symbol", "bucket").agg(dbl(now).alias("momentum"), dbl(now - before).alias("acceleration"), F.count("*").alias("trades"), dbl(vwap()).alias("vwap"), dbl(F.stddev_pop("_r")).alias("volatility"))
 
 
 # Order books: symbol, ts, bids and asks as arrays of (price, quantity), best first.

@@ -27,18 +27,18 @@ def _histogram(d: DataFrame, open_: DataFrame) -> DataFrame:
     # Even numbers lie between edges, odd ones are edges.
     bucket = F.size(F.filter("e", lambda v: v < F.col("x"))) + F.size(F.filter("e", lambda v: v <= F.col("x")))
     rows = d.join(edges, "k").where(F.col("x").between(F.col("lo"), F.col("hi"))).withColumn("bucket", bucket)
-    return rows.groupBy("k", "lo", "hi", "bucket").agg(F.count("*").alias("c"), F.min("x").alias("blo"), F.max("x").alias("bhi"))
+    return rows.groupBy("k", "lo", "hi", "bucket").agg(F.sum("c").alias("c"), F.min("x").alias("blo"), F.max("x").alias("bhi"))
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: dict[str, float], keys: tuple = ("symbol",), small: int = SMALL) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, probabilities: dict[str, float], keys: tuple = ("symbol",), small: int = SMALL, weight: str | None = None) -> DataFrame:
     """One row per key with the quantiles of a column under the given names, interpolated between neighbouring values.
 
     Equal to sorting all values of a key. Each round shuffles one row a bucket and task, and reads df once for the edges
     and once for the counts; a round leaves about 1 / EDGES of the rows before it. Null values don't count, a null key is
-    a key of its own; keys without values have no row.
+    a key of its own; keys without values have no row. weight: a column of how often each row counts.
     """
-    d = df.select(F.struct(*keys).alias("k"), F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    base = d.groupBy("k").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    d = df.select(F.struct(*keys).alias("k"), F.col(column).cast("double").alias("x"), (F.lit(1) if weight is None else F.col(weight)).cast("long").alias("c")).where(F.col("x").isNotNull())
+    base = d.groupBy("k").agg(F.sum("c").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p"), F.lit(up).alias("up")) for name, p in probabilities.items() for up in (0, 1)]))
     at = F.col("w.p") * (F.col("n") - 1)
     rank = F.least(F.floor(at) + F.col("w.up"), F.col("n") - 1)
@@ -54,7 +54,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: dict[str, float],
         finer = finer.select("k", "name", "up", "rank", "part", F.col("blo").alias("lo"), F.col("bhi").alias("hi"), (F.col("below") + F.col("upto") - F.col("c")).alias("below"), F.col("c").alias("inside"))
         state = written(state.where(~is_open).unionByName(finer), "ranks")
     left = state.where("lo < hi")
-    values = d.join(left.select("k", "lo", "hi").distinct(), "k").where(F.col("x").between(F.col("lo"), F.col("hi"))).groupBy("k", "lo", "hi", "x").agg(F.count("*").alias("c"))
+    values = d.join(left.select("k", "lo", "hi").distinct(), "k").where(F.col("x").between(F.col("lo"), F.col("hi"))).groupBy("k", "lo", "hi", "x").agg(F.sum("c").alias("c"))
     values = values.withColumn("upto", F.sum("c").over(W.partitionBy("k", "lo", "hi").orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)))
     r = F.col("rank") - F.col("below")
     found = left.join(values, ["k", "lo", "hi"]).where((r < F.col("upto")) & (r >= F.col("upto") - F.col("c"))).select("k", "name", "up", "part", "x")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import micro as M
 from ..operators import quality as Q
+from ..operators import rolling as L
 from ..operators import series as R
 from ..operators import stats as S
 from ..operators import ticks as K
@@ -213,13 +214,13 @@ def mic10(spark, d):
 @query("mic11_volume_clusters", _win(86400) + """, s AS (SELECT symbol, bucket, date_trunc('hour', ts) AS h, CAST(sum(q) AS DOUBLE) AS v FROM w GROUP BY 1, 2, 3), m AS (SELECT *, avg(v) OVER (PARTITION BY symbol, bucket) AS mu, stddev_pop(v) OVER (PARTITION BY symbol, bucket) AS sd FROM s)
 SELECT symbol, bucket, count(*) AS pieces, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, max(v) AS max, min(v) AS min, count(*) FILTER (WHERE v > mu + 2 * sd) AS bursts, count(*) FILTER (WHERE v < mu - 2 * sd) AS quiet FROM m GROUP BY symbol, bucket""")
 def mic11(spark, d):
-    return M.volume_clusters(ticks(spark, d))
+    return M.volume_clusters(ticks(spark, d)).drop("burst_rate", "first_half", "second_half")
 
 
 @query("mic13_win26_momentum", _win(86400) + """, k AS (SELECT *, row_number() OVER (PARTITION BY symbol, bucket ORDER BY ts DESC, trade_id DESC) AS k FROM w), a AS (SELECT symbol, bucket, max(CASE WHEN k = 1 THEN p END) AS a, max(CASE WHEN k = 10 THEN p END) AS b, max(CASE WHEN k = 11 THEN p END) AS c, max(CASE WHEN k = 20 THEN p END) AS e FROM k GROUP BY symbol, bucket)
 SELECT symbol, bucket, round((a - b) / b, 6) AS momentum, round((a - b) / b - (c - e) / e, 6) AS acceleration FROM a""")
 def mic13(spark, d):
-    return M.momentum(ticks(spark, d))
+    return M.momentum(ticks(spark, d)).select("symbol", "bucket", "momentum", "acceleration")
 
 
 @query("win24_tick_frequency", _win(3600) + """, l AS (SELECT symbol, bucket, CAST(p <> lag(p) OVER (PARTITION BY symbol, bucket ORDER BY ts, trade_id) AS INTEGER) AS c FROM w) SELECT symbol, bucket, round(avg(c), 6) AS tick_frequency FROM l GROUP BY symbol, bucket""")
@@ -232,7 +233,8 @@ def win24(spark, d):
 SELECT symbol, CAST(s AS INTEGER) AS window_s, count(*) AS n, round(avg(p), 6) AS mean, round(stddev_pop(p), 6) AS std, min(p) AS min, max(p) AS max, round(quantile_cont(p, 0.5), 6) AS median, max(CASE WHEN a = 1 THEN p END) AS first, max(CASE WHEN z = 1 THEN p END) AS last,
  round(max(CASE WHEN z = 1 THEN p END) - max(CASE WHEN a = 1 THEN p END), 6) AS change FROM k GROUP BY symbol, s""")
 def mic15(spark, d):
-    return M.trailing_windows(ticks(spark, d), datetime(2024, 1, 20, 12))
+    w = L.trailing_statistics(ticks(spark, d), datetime(2024, 1, 20, 12), sizes=(3600, 21600, 86400))
+    return w.select("symbol", "window_s", "n", "mean", "std", "min", "max", "median", "first", "last", "change")
 
 
 _BOOK = """, ba AS (SELECT symbol, date, cents / 100.0 AS p, CAST(q AS DOUBLE) AS q, ts, row_number() OVER (PARTITION BY symbol, date ORDER BY price DESC, trade_id) AS a, row_number() OVER (PARTITION BY symbol, date ORDER BY price, trade_id) AS b FROM t) """
