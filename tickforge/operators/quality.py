@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +46,19 @@ def invalid_values(ticks: DataFrame) -> DataFrame:
 
 
 def assessment(ticks: DataFrame, as_of, min_seconds: float = 3600) -> DataFrame:
-    """Per symbol: records, duplicates, range, freshness, gaps, invalid values, issues and a score of 0 to 100."""
-    base = ticks.groupBy("symbol").agg(F.count("*").alias("records"), F.min("ts").alias("first_time"), F.max("ts").alias("last_time"))
-    d = base.join(duplicate_breakdown(ticks).select("symbol", "duplicates"), "symbol", "left").join(gap_report(ticks, min_seconds), "symbol", "left")
-    d = d.join(freshness(ticks, as_of).select("symbol", "age_hours", "stale"), "symbol").join(invalid_values(ticks), "symbol")
+    """Per symbol: records, duplicates, range, freshness, gaps, invalid values, issues and a score of 0 to 100.
+
+    Range, freshness and invalid values are one aggregate; the parts meet in a union that is summed up by symbol.
+    """
+    hours = (F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(F.max("ts"))) / F.lit(3.6e9)
+    bad = lambda c: F.count_if(F.col(c).isNull() | (F.col(c) <= 0))
+    base = ticks.groupBy("symbol").agg(
+        F.count("*").alias("records"), F.min("ts").alias("first_time"), F.max("ts").alias("last_time"), dbl(hours).alias("age_hours"), (hours > 2.0).alias("stale"),
+        bad("price").alias("bad_price"), bad("quantity").alias("bad_quantity"), F.count_if(F.col("ts").isNull()).alias("null_time"),
+    )
+    parts = [base, duplicate_breakdown(ticks).select("symbol", "duplicates"), gap_report(ticks, min_seconds)]
+    d = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    d = d.groupBy("symbol").agg(*[F.max(c).alias(c) for c in d.columns if c != "symbol"])
     d = d.na.fill(0, ["duplicates", "gap_count", "total_days", "largest_hours"])
     issues = F.col("duplicates") + F.col("gap_count") + F.col("bad_price") + F.col("bad_quantity") + F.col("null_time")
     d = d.withColumn("issues", issues)
@@ -63,6 +74,14 @@ def recommendations(ticks: DataFrame, as_of, min_seconds: float = 3600) -> DataF
     return d.unionByName(g).unionByName(f)
 
 
+def overall_status(ticks: DataFrame, as_of, min_seconds: float = 3600) -> DataFrame:
+    """One row: symbols, records, duplicates, gaps, their sum as issues, stale symbols, and healthy or issues_found, as
+    there is anything to recommend."""
+    a = assessment(ticks, as_of, min_seconds)
+    s = a.agg(F.count("*").alias("symbols"), F.sum("records").alias("records"), F.sum("duplicates").alias("duplicates"), F.sum("gap_count").alias("gaps"), F.count_if("stale").alias("stale_symbols"))
+    return s.withColumn("issues", F.col("duplicates") + F.col("gaps")).withColumn("status", F.when((F.col("issues") == 0) & (F.col("stale_symbols") == 0), "healthy").otherwise("issues_found"))
+
+
 def maintenance_triggers(ticks: DataFrame, as_of, duplicates: int = 1000, gap_hours: float = 6, age_hours: float = 2) -> DataFrame:
     a = assessment(ticks, as_of)
     return a.select("symbol", (F.col("duplicates") > duplicates).alias("dedupe"), (F.col("largest_hours") > gap_hours).alias("backfill"), (F.col("age_hours") > age_hours).alias("refresh"))

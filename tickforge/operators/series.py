@@ -41,12 +41,20 @@ def top_gaps(g: DataFrame, n: int, per_symbol: bool = False) -> DataFrame:
 
 
 def islands(ticks: DataFrame, gap: str = "1 hour", unit: str = "day") -> DataFrame:
-    """Stretches of data without a gap of ``gap`` or more. Island numbers are running sums of flags in time blocks, so
-    a symbol that holds most rows is many tasks."""
-    d = previous(ticks.select("symbol", "ts", "trade_id"), {"ts": "_p"}, unit=unit)
-    opens = F.when(F.col("_p").isNull() | (F.col("_p") + F.expr(f"interval {gap}") <= F.col("ts")), 1).otherwise(0).cast("long")
-    d = running_total(d, opens, "_island", unit=unit)
-    return d.groupBy("symbol", "_island").agg(F.min("ts").alias("island_start"), F.max("ts").alias("island_end"), F.count("*").alias("n")).drop("_island")
+    """Stretches of data without a gap of ``gap`` or more.
+
+    Ticks are shuffled once, by symbol and time block, and become one row for each stretch inside a block; only these
+    rows meet by symbol, where stretches that go on in the next block are joined. Ticks without a time are left out.
+    """
+    d = ticks.where(F.col("ts").isNotNull()).select("symbol", "ts", "trade_id").withColumn("_grp", F.struct("symbol", blocks("ts", unit).alias("b")))
+    apart = lambda p, at: F.when(F.col(p).isNull() | (F.col(p) + F.expr(f"interval {gap}") <= F.col(at)), 1).otherwise(0).cast("long")
+    inner = W.partitionBy("_grp").orderBy("ts", "trade_id")
+    d = d.withColumn("_p", F.lag("ts").over(inner)).withColumn("_part", F.sum(apart("_p", "ts")).over(inner.rowsBetween(W.unboundedPreceding, 0)))
+    parts = d.groupBy("_grp", "_part").agg(F.min("ts").alias("a"), F.max("ts").alias("z"), F.count("*").alias("c"))
+    of = W.partitionBy("_grp.symbol").orderBy("a")
+    parts = parts.withColumn("_p", F.lag("z").over(of)).withColumn("_island", F.sum(apart("_p", "a")).over(of.rowsBetween(W.unboundedPreceding, 0)))
+    out = parts.groupBy(F.col("_grp.symbol").alias("symbol"), "_island").agg(F.min("a").alias("island_start"), F.max("z").alias("island_end"), F.sum("c").alias("n"))
+    return out.drop("_island")
 
 
 def missing_ranges(islands_: DataFrame, start, end, min_hours: float = 0.1) -> DataFrame:

@@ -83,6 +83,14 @@ def dq10(spark, d):
     return Q.recommendations(ticks(spark, d), AS_OF)
 
 
+@query("dq10_overall_status", _DAMAGED + """, b AS (SELECT symbol, count(*) AS records, max(ts) AS last_time, count(*) - count(DISTINCT trade_id) AS duplicates FROM dd GROUP BY symbol),
+ g0 AS (SELECT symbol, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY symbol ORDER BY ts, trade_id)) AS s FROM dd), g AS (SELECT count(*) AS gaps FROM g0 WHERE s > 3600000000),
+ a AS (SELECT count(*) AS symbols, CAST(sum(records) AS BIGINT) AS records, CAST(sum(duplicates) AS BIGINT) AS duplicates, count(*) FILTER (WHERE epoch_us(TIMESTAMP '2024-01-31') - epoch_us(last_time) > 7200000000) AS stale_symbols FROM b)
+SELECT symbols, records, duplicates, gaps, stale_symbols, duplicates + gaps AS issues, CASE WHEN duplicates + gaps = 0 AND stale_symbols = 0 THEN 'healthy' ELSE 'issues_found' END AS status FROM a, g""")
+def dq10_status(spark, d):
+    return Q.overall_status(damaged(spark, d), AS_OF)
+
+
 @query("dq19_maintenance_triggers", _GAPS.format(limit=3600) + ", m AS (SELECT symbol, max(hours) AS h FROM gaps GROUP BY symbol), f AS (" + _FRESH + ") SELECT f.symbol, false AS dedupe, coalesce(h, 0) > 6 AS backfill, age_hours > 2 AS refresh FROM f LEFT JOIN m ON f.symbol = m.symbol")
 def dq19(spark, d):
     return Q.maintenance_triggers(ticks(spark, d), AS_OF)

@@ -8,6 +8,7 @@ from ..functions.scalars import dbl
 from ..registry import query
 from ..schema import ticks
 from ..sources import files, raw
+from ..streaming import analyzers as N
 from ..streaming import stateful as Z
 from .bars import ADAPTIVE_SQL, RESET_SQL
 
@@ -151,3 +152,26 @@ def str11(spark, d):
     keep = lambda k: lambda b, i: parsed[k](b).withColumn("kind", F.lit(k)).write.mode("overwrite").parquet(f"{path}/{k}-{i}")
     Z.side_outputs(s, "kind", {k: keep(k) for k in parsed}, _table(spark, "sides"))
     return spark.read.schema("symbol string, id long, kind string").parquet(f"{path}/*").groupBy("symbol", "kind").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+
+
+_STREAKS = """, w AS (SELECT *, to_timestamp(CAST(floor(epoch(ts) / 14400) * 14400 AS BIGINT))::TIMESTAMP AS bucket, row_number() OVER (PARTITION BY symbol ORDER BY ts, trade_id) AS i FROM t),
+ c AS (SELECT *, CASE WHEN is_buyer_maker <> lag(is_buyer_maker) OVER o THEN 1 ELSE 0 END AS c FROM w WINDOW o AS (PARTITION BY symbol, bucket ORDER BY i)),
+ r AS (SELECT *, sum(c) OVER (PARTITION BY symbol, bucket ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM c),
+ l AS (SELECT symbol, bucket, run, count(*) AS n, min(i) AS i, bool_or(is_buyer_maker) AS side FROM r GROUP BY symbol, bucket, run),
+ s AS (SELECT symbol, bucket, CAST(sum(n) AS BIGINT) AS trades, max(n) AS longest, arg_min(side, i - n * 1000000000) AS longest_is_sell, count(*) - 1 AS changes FROM l GROUP BY symbol, bucket) """
+
+
+@query("udf01_trade_analyzer", _STREAKS + "SELECT * FROM s")
+def udf01(spark, d):
+    return N.replay_trades(ticks(spark, d), N.Streaks, 14_400)
+
+
+@query("udf01_trade_analyzer_stream", _STREAKS + "SELECT * FROM s WHERE bucket + INTERVAL 4 HOUR < (SELECT max(ts) - INTERVAL 10 SECOND FROM t)")
+def udf01_stream(spark, d):
+    t = ticks(spark, d)
+    path, s = _arriving(spark, t)
+    out = _table(spark, "streaks")
+    out.run(N.stream_trades(s, N.Streaks, 14_400), max_batches=2)
+    s = N.stream_trades(Z.stream_of(spark, path, t.schema), N.Streaks, 14_400)
+    out.run(s)
+    return out.rows(s.schema).drop("_batch")

@@ -74,14 +74,16 @@ def export_csv(ticks: DataFrame, path: str, predicate: str = "true") -> None:
 def append_new(ticks: DataFrame, path: str) -> None:
     """Append rows whose (symbol, trade_id) the table doesn't hold, so reloading is harmless.
 
-    Only the dates that the new rows have are read from the table.
+    Only the dates that the new rows have are read from the table: their partitions are found by a join on the date,
+    which prunes folders at run time, so one late row doesn't open all that lies between.
     """
     spark = ticks.sparkSession
     fresh = deduplicate(ticks)
-    span = fresh.agg(F.min("date").alias("a"), F.max("date").alias("z")).first()
-    if span["a"] is None:
+    if not fresh.limit(1).count():
         return
-    old = spark.read.schema(TICKS).parquet(path).where((F.col("date") >= F.lit(span["a"])) & (F.col("date") <= F.lit(span["z"])))
+    # At most a row a day.
+    dates = fresh.select("date").distinct()
+    old = spark.read.schema(TICKS).parquet(path).join(F.broadcast(dates), "date", "left_semi")
     write_ticks(fresh.join(old.select("symbol", "trade_id"), ["symbol", "trade_id"], "left_anti"), path)
 
 
