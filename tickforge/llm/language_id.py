@@ -126,18 +126,21 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
 
     Document frequencies are summed over all rows in Spark. The weights are fitted on at most max_docs whole
     documents, in the order of the MD5 of their ids, so reruns agree; every fifth of them only sets the temperature.
+    Rows with a null id count in the frequencies only; of rows that repeat an id the least by (language, text) is fitted.
+    Texts of any length are counted whole, as at most DIM numbers each. Without rows to fit the model has no language.
     """
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
     df, n = document_frequencies(known, "_text")
-    ids = known.select("_id", "_lang").orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(max_docs)
-    picked = F.broadcast(ids.select(F.col("_id").alias("_pick")).distinct())
+    ids = known.where("_id is not null").select("_id").distinct().orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(max_docs)
+    picked = F.broadcast(ids.select(F.col("_id").alias("_pick")))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             got = [gram_counts(t) for t in pdf["_text"]]
             yield pd.DataFrame({"id": pdf["_id"], "lang": pdf["_lang"], "at": [a.astype(np.int32).tobytes() for a, _ in got], "n": [c.astype(np.int32).tobytes() for _, c in got]})
 
-    rows = known.join(picked, F.col("_id") == F.col("_pick")).drop("_pick").mapInPandas(run, "id long, lang string, at binary, n binary").collect()
+    rows = known.join(picked, F.col("_id") == F.col("_pick")).groupBy("_id").agg(F.min(F.struct("_lang", "_text")).alias("_r")).select("_id", "_r._text", "_r._lang")
+    rows = rows.mapInPandas(run, "id long, lang string, at binary, n binary").collect()
     rows.sort(key=lambda r: ((r["id"] * 2654435761) & 0xFFFFFFFF, r["id"]))
     classes = sorted({r["lang"] for r in rows})
     model = FTRL(classes, np.log((1.0 + n) / (1.0 + df)) + 1.0)
@@ -157,7 +160,12 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
 
 
 def predict(docs: DataFrame, model: FTRL, text: str = "text") -> DataFrame:
-    """Adds lang_pred and score (its calibrated probability) to every row."""
+    """Adds lang_pred and score (its calibrated probability) to every row.
+
+    Null texts, and texts without a letter, are und; so is every text if the model has learned no language. Texts are
+    read whole; repeated rows are predicted alike; columns named lang_pred and score are replaced, all others stay; an
+    empty table gives an empty one.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -165,4 +173,6 @@ def predict(docs: DataFrame, model: FTRL, text: str = "text") -> DataFrame:
         m = held.value
         return pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    return docs.drop("lang_pred", "score").withColumn("_guess", guess(F.col(text))).select("*", "_guess.lang_pred", "_guess.score").drop("_guess")
+    docs = docs.drop("lang_pred", "score")
+    name = "_guess" + "_" * max([0, *map(len, docs.columns)])
+    return docs.withColumn(name, guess(F.col(text))).select(*docs.columns, f"{name}.lang_pred", f"{name}.score")

@@ -7,10 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Labelled documents that the model is fitted on, at most; taken in the order of the MD5 of their ids.
 MAX_TRAINING_DOCS = 4000
+#: Lines of all of them, at most.
+MAX_TRAINING_LINES = 400_000
 #: Symbols that count as markup or noise.
 SYMBOLS = frozenset("#*$%&|<>@^~=+_{}[]\\/")
 N_OWN = 12
@@ -148,29 +151,48 @@ class LineCRF:
 
 
 def _platt(raw: np.ndarray, y: np.ndarray, l2: float = 1e-2) -> tuple[float, float]:
-    """Slope and offset of a logistic fit with Platt's softened targets."""
+    """Slope and offset of a logistic fit with Platt's softened targets, by Newton steps that are halved until they help."""
     pos, neg = y.sum(), len(y) - y.sum()
     t = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     x = np.stack([raw, np.ones(len(raw))], 1)
     v = np.array([1.0, 0.0])
-    for _ in range(30):
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((np.logaddexp(0, z) - t * z).sum() + l2 / 2 * ((v - [1, 0]) ** 2).sum())
+
+    now = loss(v)
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
         g = x.T @ (p - t) + l2 * (v - [1, 0])
         h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + l2 * np.eye(2)
-        v = v - np.clip(np.linalg.solve(h, g), -5, 5)
+        step = np.linalg.solve(h, g)
+        while loss(v - step) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if np.abs(step).max() <= 1e-9:
+            break
+        v, now = v - step, loss(v - step)
     return float(v[0]), float(v[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", doc_id: str = "doc_id", label: str = "quality", max_docs: int = MAX_TRAINING_DOCS) -> LineCRF:
+def train(docs: DataFrame, labels: DataFrame, usable, text: str = "text", doc_id: str = "doc_id", label: str = "quality", max_docs: int = MAX_TRAINING_DOCS, max_lines: int = MAX_TRAINING_LINES) -> LineCRF:
     """Fit on at most max_docs labelled documents for which ``usable(id column)`` holds; features are computed in the tasks.
 
-    The sample is bounded by max_docs rows and ordered by the MD5 of the id, so reruns agree. Null labels don't count, nor do documents
-    of both labels; null ids are left out; without usable labels the model scores every text 0.5.
+    The sample is bounded by max_docs documents and by max_lines lines of all of them, and ordered by the MD5 of the id,
+    so reruns agree. All lines of a document carry its label, as no others are known: the transitions that are learned
+    are those of staying. Null labels don't count, nor do documents of both labels; null ids are left out; of rows that
+    repeat an id the least text is fitted; an empty table, or one without usable labels, gives a model that scores every
+    text 0.5.
     """
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).where("_y in (0, 1) and _id is not null")
     one = known.where(usable(F.col("_id"))).groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_z")).where("_y = _z").drop("_z")
     picked = one.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(max_docs)
     rows = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
+    rows = rows.groupBy("_doc", "_y").agg(F.min("_text").alias("_text"))
+    # One task sums up the numbers of lines of max_docs documents at most, without their texts.
+    sizes = rows.select(F.col("_doc").alias("_d"), F.size(F.split(F.coalesce("_text", F.lit("")), "\n")).alias("_n"))
+    within = sizes.withColumn("_upto", F.sum("_n").over(W.orderBy(F.md5(F.col("_d").cast("string")), "_d"))).where(F.col("_upto") <= max_lines)
+    rows = rows.join(F.broadcast(within.select("_d")), F.col("_doc") == F.col("_d")).drop("_d")
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
