@@ -241,10 +241,11 @@ def dagostino(df: DataFrame, column: str, key: str = "symbol") -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    from pyspark.sql import Window as W
-
     c = df.groupBy(column).agg(F.count("*").alias("n"))
-    return c.withColumn("pct", dbl(F.col("n") * 100 / F.sum("n").over(W.partitionBy(F.lit(0)))))
+    # The total is one row.
+    total = c.agg(F.sum("n").alias("_total")).withColumn("_one", F.lit(1))
+    d = c.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
+    return d.select(column, "n", dbl(F.col("n") * 100 / F.col("_total")).alias("pct"))
 
 
 def chunk_counts(ticks: DataFrame, interval: str = "1h") -> DataFrame:

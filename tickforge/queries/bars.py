@@ -103,10 +103,10 @@ def bar06(spark, d):
 STATS_SQL = """, r AS (SELECT *, CAST(close AS DOUBLE) / CAST(lag(close) OVER (PARTITION BY symbol ORDER BY bar_id) AS DOUBLE) - 1 AS r FROM d)
 SELECT symbol, count(*) AS n_bars, round(avg(tick_count), 6) AS mean_ticks, round(stddev_samp(tick_count), 6) AS std_ticks, round(avg(volume), 6) AS mean_volume, round(avg(dollar_volume), 4) AS mean_dollars,
  round(avg(r), 6) AS mean_return, round(stddev_samp(r), 6) AS std_return, round(skewness(r), 4) AS skew_return, round(kurtosis(r), 3) AS kurtosis_return FROM r GROUP BY symbol"""
-_HEAD = _bars_sql("cents * q", 1_000_000).rsplit("\nSELECT symbol, bar_id, t0", 1)[0]
+HEAD_SQL = _bars_sql("cents * q", 1_000_000).rsplit("\nSELECT symbol, bar_id, t0", 1)[0]
 
 
-@query("bar10_bar_statistics", _HEAD + STATS_SQL)
+@query("bar10_bar_statistics", HEAD_SQL + STATS_SQL)
 def bar10(spark, d):
     return B.bar_statistics(B.dollar_bars(ticks(spark, d), 10_000))
 

@@ -13,6 +13,7 @@ from ..operators import strategy as G
 from ..registry import query
 from ..schema import ticks
 from ..streaming import streams
+from .bars import HEAD_SQL, STATS_SQL
 from .quality import _win
 from .series import _C, _R, _W, _roll
 
@@ -93,7 +94,14 @@ def agg31(spark, d):
     return G.daily_last(candles(spark, d))
 
 
-@query("bar11_bars_against_candles")
+_OF_BARS, _STATISTICS = STATS_SQL.split("\nSELECT ", 1)
+_OF_CANDLES = """, cw AS (SELECT *, to_timestamp(CAST(floor(epoch(ts) / 14400) * 14400 AS BIGINT))::TIMESTAMP AS bucket, row_number() OVER (PARTITION BY symbol, floor(epoch(ts) / 14400) ORDER BY ts DESC, trade_id DESC) AS last FROM t),
+ cc AS (SELECT symbol, bucket, CAST(max(CASE WHEN last = 1 THEN price END) AS DOUBLE) AS close, CAST(sum(q) AS DOUBLE) AS volume, count(*) AS tick_count FROM cw GROUP BY 1, 2),
+ cr AS (SELECT *, close * volume AS dollar_volume, close / lag(close) OVER (PARTITION BY symbol ORDER BY bucket) - 1 AS r FROM cc)
+"""
+
+
+@query("bar11_bars_against_candles", HEAD_SQL + _OF_BARS + _OF_CANDLES + f"SELECT 'dollar' AS kind, {_STATISTICS} UNION ALL SELECT 'time' AS kind, {_STATISTICS.replace('FROM r ', 'FROM cr ')}")
 def bar11(spark, d):
     t = ticks(spark, d)
     c = candles(spark, d).withColumnsRenamed({"bucket": "bar_id", "trades": "tick_count"}).withColumn("dollar_volume", F.col("close") * F.col("volume"))

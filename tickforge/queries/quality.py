@@ -14,7 +14,7 @@ from ..operators import stats as S
 from ..operators import ticks as K
 from ..registry import query
 from ..schema import table, ticks
-from .series import _C, _GAPS
+from .series import _C, _GAPS, MISSING_SQL
 
 AS_OF = datetime(2024, 1, 31)
 
@@ -137,7 +137,10 @@ def dq14(spark, d):
     return Q.market_wide(Q.spikes(c), c)
 
 
-@query("dq20_backfill_plan")
+@query("dq20_backfill_plan", MISSING_SQL + """, h AS (SELECT symbol, count(*) AS c FROM t GROUP BY symbol, date_trunc('hour', ts)), y AS (SELECT symbol, quantile_cont(CAST(c AS DOUBLE), 0.9) AS density FROM h GROUP BY symbol),
+ p AS (SELECT m.symbol, missing_start, epoch_us(missing_start) AS a, epoch_us(missing_end) AS z, CAST(floor(least(CAST(6 AS DOUBLE), greatest(CAST(0.5 AS DOUBLE), CAST(12 AS DOUBLE) / coalesce(density, 4000))) * CAST(3600000000 AS DOUBLE)) AS BIGINT) AS us FROM m LEFT JOIN y ON m.symbol = y.symbol),
+ x AS (SELECT *, unnest(range(0, (z - a - 1) // us + 1)) AS piece FROM p WHERE z > a)
+SELECT symbol, missing_start, piece, make_timestamp(a + piece * us) AS piece_start, make_timestamp(least(a + (piece + 1) * us, z)) AS piece_end FROM x""")
 def dq20(spark, d):
     t = ticks(spark, d)
     ranges = R.missing_ranges(R.islands(t), datetime(2024, 1, 5), datetime(2024, 1, 20))
@@ -208,7 +211,13 @@ def mic07p(spark, d):
     return M.profile(ticks(spark, d))
 
 
-@query("mic08_value_area")
+@query("mic08_value_area", _PROF + """, p AS (SELECT symbol, bucket, CAST(bin AS INTEGER) AS bin, CAST(sum(q) AS DOUBLE) AS volume FROM b GROUP BY symbol, bucket, bin),
+ m AS (SELECT symbol, bucket, sum(volume) AS t, arg_max(bin, volume * 1000 - bin) AS poc, map_from_entries(list({'k': bin, 'v': volume})) AS m FROM p GROUP BY symbol, bucket),
+ g AS (SELECT symbol, bucket, t, poc, list_transform(range(0, 20), lambda i: coalesce(m[CAST(i AS INTEGER)], 0)) AS h FROM m),
+ a AS (SELECT * FROM (WITH RECURSIVE s AS (SELECT *, poc AS lo, poc AS hi, h[poc + 1] AS v, 0 AS k FROM g
+   UNION ALL SELECT symbol, bucket, t, poc, h, CASE WHEN grow AND down THEN lo - 1 ELSE lo END, CASE WHEN grow AND up THEN hi + 1 ELSE hi END, v + CASE WHEN grow AND down THEN low WHEN grow AND up THEN high ELSE 0 END, k + 1
+   FROM (SELECT *, low >= high AND lo > 0 AS down, NOT (low >= high AND lo > 0) AND high >= 0 AS up FROM (SELECT *, v < CAST(0.7 AS DOUBLE) * t AS grow, CASE WHEN lo > 0 THEN h[lo] ELSE -1 END AS low, CASE WHEN hi < 19 THEN h[hi + 2] ELSE -1 END AS high FROM s WHERE k < 20))) SELECT * FROM s))
+SELECT symbol, bucket, poc, round(list_sum(list_transform(h, lambda v: (v / t) * (v / t))), 6) AS concentration, lo AS va_low, hi AS va_high FROM a WHERE k = 20""")
 def mic08(spark, d):
     return M.value_area(M.profile(ticks(spark, d)))
 

@@ -48,10 +48,14 @@ def win16(spark, d):
     return R.islands(ticks(spark, d))
 
 
-@query("set07_missing_ranges", _ISLANDS + """, e AS (SELECT symbol, island_start, island_end FROM isl WHERE island_end >= TIMESTAMP '2024-01-05' AND island_start <= TIMESTAMP '2024-01-20'
+#: m holds the missing ranges between 5 and 20 January.
+MISSING_SQL = _ISLANDS + """, e AS (SELECT symbol, island_start, island_end FROM isl WHERE island_end >= TIMESTAMP '2024-01-05' AND island_start <= TIMESTAMP '2024-01-20'
  UNION ALL SELECT DISTINCT symbol, TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-05' FROM isl UNION ALL SELECT DISTINCT symbol, TIMESTAMP '2024-01-20', TIMESTAMP '2024-01-20' FROM isl),
- u AS (SELECT symbol, max(island_end) OVER (PARTITION BY symbol ORDER BY island_start, island_end ROWS UNBOUNDED PRECEDING) AS upto, lead(island_start) OVER (PARTITION BY symbol ORDER BY island_start, island_end) AS nxt FROM e)
-SELECT symbol, upto AS missing_start, nxt AS missing_end, round((epoch_us(nxt) - epoch_us(upto)) / 3600000000.0, 6) AS hours FROM u WHERE (epoch_us(nxt) - epoch_us(upto)) / 3600000000.0 > 0.1""")
+ u AS (SELECT symbol, max(island_end) OVER (PARTITION BY symbol ORDER BY island_start, island_end ROWS UNBOUNDED PRECEDING) AS upto, lead(island_start) OVER (PARTITION BY symbol ORDER BY island_start, island_end) AS nxt FROM e),
+ m AS (SELECT symbol, upto AS missing_start, nxt AS missing_end, round((epoch_us(nxt) - epoch_us(upto)) / 3600000000.0, 6) AS hours FROM u WHERE (epoch_us(nxt) - epoch_us(upto)) / 3600000000.0 > 0.1) """
+
+
+@query("set07_missing_ranges", MISSING_SQL + "SELECT symbol, missing_start, missing_end, hours FROM m")
 def set07(spark, d):
     return R.missing_ranges(R.islands(ticks(spark, d)), datetime(2024, 1, 5), datetime(2024, 1, 20))
 
