@@ -15,32 +15,38 @@ def fold(doc_id: Column, n: int) -> Column:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts have no words and fail; rows that repeat an id are judged each; null sources are one host; an empty table gives an empty one."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = quality_rules.judge(docs)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts stay null; rows with a null id are left as they are; an empty table gives an empty one."""
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and wordless texts are linked with nothing; null ids are left out; an empty table gives an empty one."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), n=2)
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null html is an empty payload, a null page_id serves no other page; repeated rows come back each."""
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.capture_digests(warc.assemble(warc.read_records(spark, path, with_payload=False)))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts have size 0; null sources are one source, the last; rows that repeat an id are taken alike."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = mixing.mix(docs)
     return out.selectExpr("doc_id", "mix_size AS size", "source_size", "target", "copies * mix_size AS taken")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts are empty; texts are encoded whole in parts that change no token; repeated rows are counted each."""
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +54,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts are one end; rows with a null id are scored each; words and counts are of all training rows."""
     import public_tokenizers as P
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,12 +63,14 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts have no words, null items no windows; repeated rows are scanned each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.scan_documents(docs, table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and empty texts have a score too; rows without labels are scored like all others."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     model = line_crf.train(docs, labels, usable=lambda c: fold(c, 4) != 2)
@@ -70,6 +79,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts, and those without a letter, are und; null ids are in fold 0 and so never learned from."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.train(docs.where(fold(F.col("doc_id"), 5) != 0))
     out = language_id.predict(docs.select("doc_id", "text"), model)
@@ -77,12 +87,14 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without vec_id, label, vector or a finite component take no part; of rows that repeat a vec_id the least counts."""
     label = F.col("label").cast("long")
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), F.col("embedding").alias("vector"))
     return hard_negatives.mine(rows, F.col("id") % 100 == 0)
 
 
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts are the end id alone; null ids come first; rows that repeat an id come one after the other."""
     import public_tokenizers
 
     path, tokenizer = scratch_path(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +104,7 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts have no words, no runs and the hashes of the empty string; a null id is the empty string in h."""
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     d = table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words_of(F.col("text"))))
     g, n = F.floor(F.col("h") / 10), F.size("w").cast("long")
