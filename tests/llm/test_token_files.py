@@ -16,8 +16,8 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [None, "", " ", "\n\n", "x", "It 's  the\tend\x0b\x0cof    it", "ΣΑΣ Ὀδυσσεύς é e ́", "a<|endoftext|>b <|startoftext|>", "£ü漢字 " * 9, "n" * 5000, "word " * 30_000, "\x00  x", "don't WON'T we'll 1234"]
 
 
-@pytest.mark.parametrize("vocabulary", [3, 300, 49408, 1 << 24])
-@pytest.mark.parametrize("n", [0, 1, 17, 4096, 4097, 20_000])
+@pytest.mark.parametrize("vocabulary", [3, 49408, 1 << 24])
+@pytest.mark.parametrize("n", [0, 1, 17, 4097])
 def test_round_trip(n, vocabulary):
     r = np.random.RandomState(n)
     for ids in (np.minimum((r.pareto(0.7, n) * 3).astype(np.int64), vocabulary - 1), r.randint(0, vocabulary, n), np.resize(r.randint(0, vocabulary, 37), n), np.full(n, vocabulary - 1)):
