@@ -37,7 +37,7 @@ def same(got, want):
             assert x == y or abs(x - y) <= (1e-4 if c == "dollar_volume_per_second" else 2e-6) * max(1, abs(y)), c
 
 
-@pytest.mark.parametrize("parts", [1, 2, 5])
+@pytest.mark.parametrize("parts", [2, 5])
 @pytest.mark.parametrize("lookback", [None, 20])
 def test_bars_do_not_depend_on_batches(spark, sf_dir, parts, lookback):
     t = ticks(spark, sf_dir)

@@ -151,6 +151,14 @@ def trip_summary(trips: DataFrame) -> DataFrame:
     return trips.groupBy("symbol").agg(F.count("*").alias("n"), dbl(F.sum("pnl_pct")).alias("total_pct"), dbl(F.avg("pnl_pct")).alias("avg_pct"), dbl(F.count_if(F.col("pnl") > 0) * 100 / F.count("*")).alias("win_rate"), F.max("pnl").alias("best"), F.min("pnl").alias("worst"))
 
 
+def best_and_worst(trips: DataFrame) -> DataFrame:
+    """Per symbol the round trip with the largest and the one with the smallest P&L, the earlier one on ties."""
+    early = -F.unix_micros("entry_time")
+    best, worst = F.max_by(F.struct("entry_time", "pnl"), F.struct(F.col("pnl"), early)), F.max_by(F.struct("entry_time", "pnl"), F.struct(-F.col("pnl"), early))
+    d = trips.groupBy("symbol").agg(best.alias("b"), worst.alias("w"))
+    return d.select("symbol", F.col("b.entry_time").alias("best_entry"), F.col("b.pnl").alias("best"), F.col("w.entry_time").alias("worst_entry"), F.col("w.pnl").alias("worst"))
+
+
 def trade_costs(trips: DataFrame, slippage: float = 0.001) -> DataFrame:
     """Round trips with entries that cost ``slippage`` more and exits that bring so much less: net P&L and %."""
     buy, sell = F.col("entry_price") * (1 + slippage), F.col("exit_price") * (1 - slippage)

@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None, raw: bool = False):
     return add
 
 
-from .queries import aggregates, bars, flows, further, more, quality, rolling, series, stateful  # noqa: E402, F401  they register themselves
+from .queries import aggregates, bars, flows, further, more, own, quality, rolling, series, stateful  # noqa: E402, F401  they register themselves
