@@ -311,3 +311,27 @@ def test_exact_quantiles(spark, small):
             want = np.quantile(x, p)
             assert abs(got[k][n] - want) <= 1e-9 * abs(want), (k, n)
     assert exact_quantiles(d.limit(0), "v", at).count() == 0
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    t = spark.range(10)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_version(spark, path).count()
+    ids = lambda **at: sorted(r["id"] for r in files.read_version(spark, path, **at).collect())
+    assert files.commit_version(t.where("id < 3"), path) == 1
+    # Rows of a writer that failed before its commit are not seen, and are overwritten by the next one.
+    t.where("id > 7").write.parquet(f"{path}/rows/2")
+    assert ids() == [0, 1, 2]
+    assert files.commit_version(t.where("id = 5"), path) == 2
+    assert files.commit_version(t.where("id < 0"), path) == 3
+    assert ids() == [0, 1, 2, 5]
+    assert files.commit_version(t.where("id = 9"), path, replace=True) == 4
+    assert files.commit_version(t.where("id = 9"), path) == 5
+    assert [ids(version=v) for v in (1, 2, 3, 4, 5)] == [[0, 1, 2], [0, 1, 2, 5], [0, 1, 2, 5], [9], [9, 9]]
+    times = {r["version"]: r["committed_at"] for r in spark.read.parquet(f"{path}/commits").collect()}
+    assert ids(as_of=times[2]) == [0, 1, 2, 5] and ids(as_of=times[4]) == [9] and ids(as_of="2999-01-01") == [9, 9]
+    with pytest.raises(ValueError):
+        files.read_version(spark, path, version=6)
+    with pytest.raises(ValueError):
+        files.read_version(spark, path, as_of="2000-01-01")

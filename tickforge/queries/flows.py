@@ -83,6 +83,29 @@ def snk07(spark, d):
     return files.merge_latest(t, new, ["symbol", "trade_id"]).groupBy("symbol").agg(F.count("*").alias("n"), F.sum("price").alias("total"))
 
 
+def _versions(spark, d) -> str:
+    """A table of three versions: sells, then buys added to them, then rows over 100 instead of all."""
+    t, path = ticks(spark, d), files.shared_path(spark, "versions")
+    files.commit_version(t.where("NOT is_buyer_maker"), path)
+    files.commit_version(t.where("is_buyer_maker"), path)
+    files.commit_version(t.where("price > 100"), path, replace=True)
+    return path
+
+
+@query("src10_table_scan", "SELECT symbol, trade_id, price FROM t WHERE price > 100 AND date >= DATE '2024-01-05' AND date <= DATE '2024-01-20'")
+def src10(spark, d):
+    now = files.read_version(spark, _versions(spark, d))
+    return now.where("date BETWEEN DATE'2024-01-05' AND DATE'2024-01-20'").select("symbol", "trade_id", "price")
+
+
+@query("src11_older_versions", "SELECT v, symbol, count(*) AS n, sum(quantity) AS quantity FROM t, (VALUES (1), (2), (3)) x(v) WHERE v = 2 OR (v = 1 AND NOT is_buyer_maker) OR (v = 3 AND price > 100) GROUP BY v, symbol")
+def src11(spark, d):
+    path = _versions(spark, d)
+    rows = [files.read_version(spark, path, v).withColumn("v", F.lit(v)) for v in (1, 2, 3)]
+    both = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return both.groupBy("v", "symbol").agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity"))
+
+
 @query("snk10_backup", "SELECT count(*) AS n FROM t")
 def snk10(spark, d):
     path = files.shared_path(spark, "backup")

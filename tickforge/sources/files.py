@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,49 @@ def read_lake(spark: SparkSession, path: str, version: int | None = None, as_of:
     return r.load(path)
 
 
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("version long, first_version long, committed_at timestamp").parquet(f"{path}/commits")
+
+
+def commit_version(df: DataFrame, path: str, replace: bool = False) -> int:
+    """Write df as the next version of a Parquet table that keeps its older ones; the version's number comes back.
+
+    A version adds its rows to those before, or stands for all of them (``replace``). Its commit is written after its
+    rows, so rows of a writer that failed are never read, and the next writer overwrites them. One writer at a time;
+    all versions have the same columns. An empty df makes a version too.
+    """
+    spark = df.sparkSession
+    try:
+        last = _commits(spark, path).orderBy(F.desc("version")).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    version = last["version"] + 1 if last else 1
+    first = last["first_version"] if last and not replace else version
+    df.write.mode("overwrite").parquet(f"{path}/rows/{version}")
+    commit = spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(first).cast("long").alias("first_version"), F.current_timestamp().alias("committed_at"))
+    commit.write.mode("append").parquet(f"{path}/commits")
+    return version
+
+
+def read_version(spark: SparkSession, path: str, version: int | None = None, as_of: str | datetime | None = None) -> DataFrame:
+    """The table as it was at a version, or at a time; as it is now without either. Only folders that count are read.
+
+    A version or time before which nothing was committed is an error, and so is a missing path.
+    """
+    commits = _commits(spark, path)
+    if version is not None:
+        commits = commits.where(F.col("version") == version)
+    if as_of is not None:
+        commits = commits.where(F.col("committed_at") <= F.lit(as_of).cast("timestamp"))
+    at = commits.orderBy(F.desc("version")).first()
+    if at is None:
+        raise ValueError(f"{path} has no version {version if version is not None else ''} as of {as_of or 'now'}")
+    folders = [f"{path}/rows/{v}" for v in range(at["first_version"], at["version"] + 1)]
+    return spark.read.parquet(*folders)
+
+
 def write_ticks(ticks: DataFrame, path: str, mode: str = "append", salt: int = 8) -> None:
     """zstd Parquet under symbol=/date=. A day of a symbol is dealt over ``salt`` tasks, so a dominant one stays parallel."""
     d = ticks if "date" in ticks.columns else ticks.withColumn("date", F.to_date("ts"))
