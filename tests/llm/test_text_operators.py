@@ -203,6 +203,62 @@ def test_near_duplicates_of_one_template(spark):
     assert [r["component_id"] for r in got] == [i - i % 2 for i in range(160)]
 
 
+def edited_copies(rnd, n, most):
+    """Sets of about 100 hashes, each with up to ``most`` of a base's replaced, from a small stock; every tenth is the twin of the one before."""
+    out = []
+    for k in range(n):
+        s = set(range(100))
+        for x in rnd.sample(range(100), rnd.randrange(1, most)):
+            s.discard(x)
+            s.add(rnd.randrange(100, 4000))
+        out.append(set(out[-1]) ^ {5000 + k} if k % 10 == 9 else s)
+    return out
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_overlap_pairs_lose_no_alike_pair(spark, apart):
+    # Copies of one base; or sets that differ from the weightiest one by more than they hold.
+    rnd = random.Random(5)
+    sets = edited_copies(rnd, 200, 30)
+    if apart:
+        sets = [{1, 2, 3}] + [set(rnd.sample(range(60), 20)) if k % 4 else set(sets[-k]) | {9000} for k in range(1, 150)] + sets[:50]
+    of = {i: s for i, s in enumerate(sets)}
+    comp = {i: 0 if i % 3 else i for i in of}
+    rows = [(key, i, 1000 - i, comp[i]) for i in of for key in ((1, 2) if i % 2 else (1,))]
+    open_ = spark.createDataFrame(rows, "key long, id long, w long, comp long")
+    table = spark.createDataFrame([(i, sorted(s)) for i, s in of.items()], "id long, v array<long>")
+    got = {(r["a"], r["b"]) for r in common._overlap_pairs(open_, lambda ids: table.join(ids, "id"), 80).collect()}
+    alike = {(i, j) for i in of for j in of if i < j and comp[i] != comp[j] and 100 * len(of[i] & of[j]) >= 80 * len(of[i] | of[j])}
+    low = {(r["a"], r["b"]) for r in common.connected_components(spark.createDataFrame(sorted(got & alike), "a long, b long"), "a", "b").selectExpr("id a", "component b").collect()}
+    want = {(r["a"], r["b"]) for r in common.connected_components(spark.createDataFrame(sorted(alike), "a long, b long"), "a", "b").selectExpr("id a", "component b").collect()}
+    assert low == want and len(alike) > 20
+    assert all(comp[i] != comp[j] for i, j in got)
+
+
+def test_members_unlike_all_of_a_crowd_meet_few(spark, monkeypatch):
+    # Near copies of one text of which a tenth is changed too much to be alike any: those must not meet every copy.
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(150)]
+    texts = [" ".join(base)]
+    for k in range(400):
+        w = list(base)
+        for x in rnd.sample(range(150), 9 if k % 10 == 0 else rnd.randrange(1, 4)):
+            w[x] = f"o{rnd.randrange(3000)}"
+        texts.append(" ".join(w))
+    met = []
+    confirm = near_dedup._confirm
+    monkeypatch.setattr(near_dedup, "_confirm", lambda p, *a: (met.append(p.count()), confirm(p, *a))[1])
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs_of(spark, texts), n=2).collect()}
+    sets = [near_dedup.shingle_set(t, 2) for t in texts]
+    alike = [(i, j) for i in range(401) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    low = list(range(401))
+    for _ in range(5):
+        for i, j in sorted(alike):
+            low[i] = low[j] = min(low[i], low[j])
+    assert list(got.values()) == [low[i] for i in got]
+    assert sum(met[2:]) < 500
+
+
 def test_odd_sketch_estimates():
     rnd = np.random.RandomState(3)
     for j in (0.8, 0.9, 0.97):
