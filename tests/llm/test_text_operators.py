@@ -235,6 +235,34 @@ def test_overlap_pairs_lose_no_alike_pair(spark, apart):
     assert all(comp[i] != comp[j] for i, j in got)
 
 
+def test_crowds_are_indexed_and_screened_in_parts(spark, monkeypatch):
+    # Five crowds: pairs are those of one pass, and no written part holds more than some of the crowds or pairs.
+    rnd, sets = random.Random(9), []
+    for k in range(5):
+        sets += [{x + 10_000 * k for x in s} for s in edited_copies(rnd, 60, 30)]
+    open_ = spark.createDataFrame([(i // 60, i, 1000 - i, i) for i in range(len(sets))], "key long, id long, w long, comp long")
+    table = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "id long, v array<long>")
+    pairs = lambda: {tuple(r) for r in common._overlap_pairs(open_, lambda ids: table.join(ids, "id"), 80).collect()}
+    whole, held, cut = pairs(), {}, common.cut
+
+    def counted(df, label="cut"):
+        out = cut(df, label)
+        held.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "cut", counted)
+    monkeypatch.setattr(common, "INDEX", 8_000)
+    assert pairs() == whole and len(whole) > 20
+    assert len(held["pairs"]) > 2 and max(held["differences"]) < len(sets)
+    held.clear()
+    monkeypatch.setattr(common, "SCREENED", 100)
+    buckets = spark.createDataFrame([(i // 6, i) for i in range(240)], "key long, id long")
+    features = buckets.select("id", F.col("id").alias("f"))
+    links, _ = common.bucket_links(buckets, features, lambda x, y: F.abs(x - y) == 1, lambda p: cut(p, "links"))
+    assert sorted(map(tuple, links.collect())) == [(i, i + 1) for i in range(240) if i % 6 < 5]
+    assert held["unscreened"] == [600] and len(held["pairs"]) == 7 and max(held["pairs"][:6]) < 100
+
+
 def test_members_unlike_all_of_a_crowd_meet_few(spark, monkeypatch):
     # Near copies of one text of which a tenth is changed too much to be alike any: those must not meet every copy.
     rnd = random.Random(11)
