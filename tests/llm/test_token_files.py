@@ -41,6 +41,13 @@ def test_blocks_are_independent_and_adapt():
     assert len(next(range_coder.to_blocks(r.randint(0, 49408, 4096), 49408))[1]) * 8 < 16.8 * 4096
 
 
+def test_codes_do_not_depend_on_how_far_intervals_are_looked_up(monkeypatch):
+    ids = np.minimum(np.random.RandomState(2).pareto(0.5, 9000) * 30, 48999).astype(np.int32)
+    whole = list(range_coder.to_blocks(ids, 49408))
+    monkeypatch.setattr(range_coder, "AHEAD", 300)
+    assert list(range_coder.to_blocks(ids, 49408)) == whole
+
+
 def test_word_encoder_is_the_library():
     rnd, t = random.Random(4), Tokenizer.from_file(PATH)
     chars = list("abcXYZ 's\n\t'1_<|>") + ["é", "é", "Σ", "漢", " ", "​", "😀", "ﬁ", "<|endoftext|>", "ß", "İ"]

@@ -28,6 +28,8 @@ STEP = (MOST >> RATE) - 2
 FIRST = 16
 #: Order-0 tables of at most so many entries are filled at a time.
 DENSE = 1 << 22
+#: Steps for which intervals are looked up at a time.
+AHEAD = 1024
 
 U = np.uint64
 LOW32 = U(0xFFFFFFFF)
@@ -152,24 +154,27 @@ def encode_blocks(ids: np.ndarray, lengths: np.ndarray, vocabulary: int) -> list
     for begin, end in zip(marks, marks[1:]):
         live = int(np.searchsorted(-lengths, -begin, "left"))
         counts = _Counts(ids[:live, :begin])
-        now = ids[:live, begin:end]
-        entries = counts.entries(now, vocabulary)
-        starts, sizes = (x[entries].T.copy() for x in (counts.start, counts.size))
-        escapes = (entries == (counts.base[1 : live + 1] - 1)[:, None]).T.copy()
-        now = now.T.astype(np.uint32)
         for t in range(begin, end):
+            if (t - begin) % AHEAD == 0:
+                ahead = t
+                now = ids[:live, t : min(end, t + AHEAD)]
+                entries = counts.entries(now, vocabulary)
+                starts, sizes = (x[entries.T] for x in (counts.start, counts.size))
+                escapes = entries.T == counts.base[1 : live + 1] - 1
+                now = now.T.astype(np.uint32, order="C")
+                del entries
             going = int(np.searchsorted(-lengths[:live], -t, "left")) if t >= lengths[live - 1] else live
             if going != len(mix.a):
                 mix.shrink(going)
-            x = now[t - begin, :going]
+            x = now[t - ahead, :going]
             z2, z1 = mix.predict()
             hit2 = (mix.s2 >> 2) == x + 1
             hit1 = ((mix.s1 >> 2) == x + 1) & ~hit2
             both = z2 + z1
             rest = (1 << TOTAL) - both
-            s0 = starts[t - begin, :going]
+            s0 = starts[t - ahead, :going]
             a = (s0 * rest) >> COUNTS
-            z = (((s0 + sizes[t - begin, :going]) * rest) >> COUNTS) - a
+            z = (((s0 + sizes[t - ahead, :going]) * rest) >> COUNTS) - a
             a += both
             hits = np.flatnonzero(hit2 | hit1)
             if len(hits):
@@ -184,7 +189,7 @@ def encode_blocks(ids: np.ndarray, lengths: np.ndarray, vocabulary: int) -> list
             rows = np.flatnonzero(r <= LOW32)
             if len(rows):
                 settle(rows)
-            rows = np.flatnonzero(escapes[t - begin, :going] & ~hit2 & ~hit1)
+            rows = np.flatnonzero(escapes[t - ahead, :going] & ~hit2 & ~hit1)
             if len(rows):
                 r = span[rows] // U(vocabulary)
                 low[rows] += r * x[rows].astype(U)

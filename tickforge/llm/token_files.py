@@ -37,7 +37,9 @@ SEGMENT, PER_FILE = 1024 * range_coder.BLOCK, 4
 #: Words that are remembered with their ids, and the longest that are.
 MEMORY, LONG = 200_000, 40
 #: Bytes of text that are split at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Ids that are given back at a time, about: batches of whole documents.
+BATCH = 1 << 19
 #: Rows of the segments' offsets that are broadcast, at most.
 MAX_SEGMENTS = 500_000
 
@@ -186,9 +188,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, d
 
         def flush() -> pa.RecordBatch:
             nonlocal number, held
-            s = make_segment(part, number, names, np.concatenate(counts), np.concatenate(parts), max(encoder.vocabulary, end_id + 1))
+            ids = np.concatenate(parts)
+            parts.clear()
+            s = make_segment(part, number, names, np.concatenate(counts), ids, max(encoder.vocabulary, end_id + 1))
             number, held = number + 1, 0
-            names.clear(), counts.clear(), parts.clear()
+            names.clear(), counts.clear()
+            pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_arrays([pa.array([s], pa.binary())], ["segment"])
 
         for batch in batches:
@@ -236,11 +241,13 @@ def read_token_files(spark: SparkSession, path: str, vocabulary: int) -> DataFra
                 for s in _segments(memoryview(v.as_buffer())):
                     s.vocabulary = vocabulary
                     names, counts, ids = s.read()
-                    raw = ids.astype("<u4").tobytes()
-                    ends = np.cumsum(counts)
-                    pieces = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), counts.tolist())]
-                    cols = [pa.array([s.part] * len(names), pa.int64()), pa.array([s.number] * len(names), pa.int64()), pa.array(names, pa.int64()), pa.array(ends - counts, pa.int64()), pa.array(counts, pa.int64()), pa.array(pieces, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(cols, ["part", "number", "doc_id", "inside", "n_tokens", "ids"])
+                    ids, ends, a = ids.astype("<u4", copy=False), np.cumsum(counts), 0
+                    while a < len(names):
+                        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BATCH, "right")))
+                        pieces = [ids[e - n : e].tobytes() for e, n in zip(ends[a:b].tolist(), counts[a:b].tolist())]
+                        cols = [pa.array([s.part] * (b - a), pa.int64()), pa.array([s.number] * (b - a), pa.int64()), pa.array(names[a:b], pa.int64()), pa.array((ends - counts)[a:b], pa.int64()), pa.array(counts[a:b], pa.int64()), pa.array(pieces, pa.binary())]
+                        yield pa.RecordBatch.from_arrays(cols, ["part", "number", "doc_id", "inside", "n_tokens", "ids"])
+                        a = b
 
     # Ids before a segment: those of the ranges before its own, and those before it in its range.
     index = files.mapInArrow(heads, "part long, number long, n_ids long")
