@@ -235,6 +235,25 @@ def test_stream_bars_match_batch(spark, sf_dir):
     assert sorted(map(tuple, s.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
 
 
+def test_stream_bars_close_on_exact_sums(spark):
+    # Ten dimes are a dollar; as doubles they are less.
+    path = files.shared_path(spark, "dimes")
+    for k in range(2):
+        spark.range(1005 * k, 1005 * (k + 1)).selectExpr("'a' symbol", "id trade_id", "timestamp_seconds(id) ts", "cast(0.1 as decimal(18,8)) price", "cast(1 as decimal(18,8)) quantity").coalesce(1).write.mode("append").parquet(path)
+    s = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    b = streams.run_to_files(streams.reset_bars(s, 1.0), "dime-bars").orderBy("bar_id").select("bar_id", "timestamp", "tick_count", F.round("dollar_volume", 9)).collect()
+    assert [tuple(r) for r in b] == [(i, datetime(1970, 1, 1) + timedelta(seconds=10 * i), 10, 1.0) for i in range(201)]
+
+
+def test_sampler_sums_do_not_grow():
+    # Running sums of all these ticks would leave the whole numbers that a double holds.
+    limit, n = 400_000_000_001, 200_000
+    some = np.random.RandomState(3).randint(1, 300_000_000_000, n)
+    worth = np.column_stack([some, limit - some]).ravel().astype(float)
+    got = bars.Sampler(limit / 1e8, 8).feed(np.arange(2 * n), worth / 1e8, np.ones(2 * n), worth)
+    assert len(got) == n and {r[9] for r in got} == {2}
+
+
 def test_empty_ticks(spark):
     t = spark.createDataFrame([], SCHEMA)
     for d in (S.ohlcv(t, "1h"), bars.dollar_bars(t, 100), bars.reset_bars(t, 100.0), bars.adaptive_bars(t, 100.0), series.gaps(t), series.islands(t), quality.assessment(t, datetime(2024, 1, 1)), micro.runs_test(t)):

@@ -117,6 +117,8 @@ def adapted(sizes: list[float]) -> float:
 
 #: Bars that the threshold needs before it adapts.
 SETTLED = 5
+#: Ticks over which a Sampler's running sums go before they begin anew.
+SLICE = 4096
 
 
 class Sampler:
@@ -177,7 +179,14 @@ class Sampler:
         return row
 
     def feed(self, ts: np.ndarray, p: np.ndarray, q: np.ndarray, worth: np.ndarray) -> list[tuple]:
-        """The bars that these ticks close; ts in microseconds, worth in units."""
+        """The bars that these ticks close; ts in microseconds, worth in units. Sums begin anew after SLICE ticks, so
+        that they stay whole numbers which a double holds, however many ticks there are."""
+        out = []
+        for k in range(0, len(p), SLICE):
+            out += self._feed(*(x[k : k + SLICE] for x in (ts, p, q, worth)))
+        return out
+
+    def _feed(self, ts: np.ndarray, p: np.ndarray, q: np.ndarray, worth: np.ndarray) -> list[tuple]:
         sums, i, base, out = np.cumsum(worth), 0, 0.0, []
         while i < len(p):
             # One step a bar: the crossing tick is found in the running sums.

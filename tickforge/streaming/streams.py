@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..operators.bars import Sampler, _units, fed_ticks
 from ..schema import ticks_from_events
 from ..sources.files import shared_path
 
@@ -53,33 +53,26 @@ def price_alerts(ticks: DataFrame, above: float) -> DataFrame:
 
 
 def reset_bars(ticks: DataFrame, threshold: float) -> DataFrame:
-    """Bars that close on the crossing tick, from a stream. State is the open bar; each batch is sorted per symbol."""
-    out = "symbol string, bar_id long, timestamp timestamp, open double, high double, low double, close double, volume double, dollar_volume double, tick_count long"
-    state = "bar_id long, ts timestamp, o double, h double, l double, c double, v double, dv double, n long"
+    """Bars that close on the crossing tick, from a stream. State is the open bar; each batch is sorted per symbol.
+
+    Closing is decided on dollars in whole units (Sampler), so it doesn't depend on how many ticks came before in a
+    batch. Ticks without a price or quantity are left out.
+    """
+    out = "symbol string, bar_id long, timestamp long, open double, high double, low double, close double, volume double, dollar_volume double, tick_count long"
+    names = [x.split()[0] for x in out.split(", ")]
+    digits = _units(threshold)[0]
 
     def advance(key, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
-        s = list(held.get) if held.exists else [0, None, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0]
-        rows = []
+        s = Sampler(threshold, digits)
+        if held.exists:
+            s.resume(tuple(held.get), [])
         pdf = pd.concat(list(batches)).sort_values(["ts", "trade_id"])
-        ts, p, q = pdf["ts"].tolist(), pdf["price"].to_numpy(float), pdf["quantity"].to_numpy(float)
-        cum, i, base = np.cumsum(p * q), 0, 0.0
-        while i < len(p):
-            # One step per bar: the crossing tick is found in the running sums.
-            j = min(int(np.searchsorted(cum, base + threshold - s[7], "left")), len(p) - 1)
-            part, dollars = slice(i, j + 1), cum[j] - base
-            if not s[8]:
-                s[1:] = [ts[i], float(p[i]), float(p[i]), float(p[i]), 0.0, 0.0, 0.0, 0]
-            s[3], s[4], s[5] = max(s[3], float(p[part].max())), min(s[4], float(p[part].min())), float(p[j])
-            s[6], s[7], s[8] = s[6] + float(q[part].sum()), s[7] + float(dollars), s[8] + j + 1 - i
-            i, base = j + 1, cum[j]
-            if s[7] >= threshold:
-                rows.append((key[0], *s))
-                s = [s[0] + 1, None, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0]
-        held.update(tuple(s))
-        yield pd.DataFrame(rows, columns=[x.split()[0] for x in out.split(", ")])
-
-    d = ticks.select("symbol", "ts", "trade_id", F.col("price").cast("double").alias("price"), F.col("quantity").cast("double").alias("quantity"))
-    return d.groupBy("symbol").applyInPandasWithState(advance, out, state, "append", GroupStateTimeout.NoTimeout)
+        rows = s.feed(*(pdf[c].to_numpy() for c in ("ts", "price", "quantity", "worth")))
+        held.update(s.state())
+        yield pd.DataFrame(rows, columns=[x.split()[0] for x in Sampler.ROW.split(", ")]).assign(symbol=key[0])[names]
+
+    d = fed_ticks(ticks, digits).groupBy("symbol").applyInPandasWithState(advance, out, Sampler.STATE, "append", GroupStateTimeout.NoTimeout)
+    return d.withColumn("timestamp", F.timestamp_micros("timestamp"))
 
 
 def run_to_files(stream: DataFrame, label: str) -> DataFrame:
