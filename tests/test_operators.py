@@ -167,6 +167,25 @@ def test_asof_join_of_all_rows(spark, unit):
     assert sorted(map(tuple, pairs)) == sorted(near)
 
 
+def test_band_join_does_not_shuffle_its_right_side(spark, monkeypatch):
+    f = spark.range(3000).selectExpr("cast(id % 3 as string) symbol", "timestamp_seconds(id * 700) ts", "id v").unionByName(spark.range(1).selectExpr("'0' symbol", "cast(null as timestamp) ts", "-1L v"))
+    p = f.where("v % 20 = 0 or v < 0").selectExpr("symbol", "ts", "v n").unionByName(spark.sql("SELECT cast(null as string) symbol, timestamp_seconds(700) ts, -2L n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = series.time_band_join(p, f, 7200)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "r_ts" not in "".join(x for x in plan.split("\n") if "Exchange hashpartitioning(" in x)
+        monkeypatch.setattr(series, "MAX_VALUES", 10)
+        many = series.time_band_join(p, f, 7200)
+        assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString() and many.columns == few.columns
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = sorted((n, v) for n in range(0, 3000, 20) for v in range(n % 3, 3000, 3) if abs(n - v) * 700 <= 7200)
+    assert sorted(map(tuple, few.select("n", "r_v").collect())) == sorted(map(tuple, many.select("n", "r_v").collect())) == want
+
+
 def test_asof_join_spreads_a_symbol(spark):
     p = spark.range(2000).selectExpr("'a' AS symbol", "timestamp_seconds(id * 3600) AS ts", "id AS n")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
