@@ -235,6 +235,52 @@ def test_overlap_pairs_lose_no_alike_pair(spark, apart):
     assert all(comp[i] != comp[j] for i, j in got)
 
 
+def test_unlike_crowds_meet_by_size_without_an_index(spark, monkeypatch):
+    # A crowd that shares one hash besides copies of a base: only the base's copies are indexed, unless many are of one size.
+    rnd, sets = random.Random(6), []
+    for k in range(150):
+        n = rnd.randrange(20, 200)
+        sets.append({1} | set(rnd.sample(range(2, 4000), n)) if k % 3 or not k else set(rnd.sample(sorted(sets[-1]), len(sets[-1]) * rnd.choice((79, 80, 81, 95)) // 100)))
+    base = len(sets)
+    sets += [{x + 10_000 for x in s} for s in edited_copies(rnd, 60, 30)]
+    of = dict(enumerate(sets))
+    open_ = spark.createDataFrame([(i // base, i, 1000 - i, i) for i in of], "key long, id long, w long, comp long")
+    table = spark.createDataFrame([(i, sorted(s)) for i, s in of.items()], "id long, v array<long>")
+    features = table.select("id", F.struct(F.lit(0).alias("n"), F.col("v").alias("s")).alias("f"))
+    alike = {(i, j) for i in of for j in of if i < j and i // base == j // base and 100 * len(of[i] & of[j]) >= 80 * len(of[i] | of[j])}
+    indexed, index = [], common._index_pairs
+
+    def counted(group, v, percent):
+        indexed.append(group.count())
+        return index(group, v, percent)
+
+    monkeypatch.setattr(common, "_index_pairs", counted)
+    for few, rows in ((1000, 60), (2, len(of))):
+        monkeypatch.setattr(common, "FEW", few)
+        indexed.clear()
+        got = {tuple(r) for r in common._overlap_pairs(open_, lambda ids: table.join(ids, "id"), 80, features, line_dedup._may, line_dedup._shared).collect()}
+        assert sum(indexed) == rows
+        assert alike <= got and len(alike) > 30 and {p for p in alike if p[0] < base} and (few == 2 or all(p[1] >= base or 100 * len(of[p[0]] & of[p[1]]) >= 60 * len(of[p[0]] | of[p[1]]) for p in got))
+
+
+def test_screens_move_features_of_the_pairs_only(spark, monkeypatch):
+    # Two of a hundred buckets are crowded: later screens read the features of their open members, not of all.
+    buckets = spark.createDataFrame([(i // 4 if i < 400 else 100 + i % 2, i) for i in range(600)], "key long, id long")
+    features = buckets.select("id", F.col("id").alias("f"))
+    ends, cut = [], common.cut
+
+    def counted(df, label="cut"):
+        out = cut(df, label)
+        if label == "ids":
+            ends.append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "cut", counted)
+    links, _ = common.bucket_links(buckets, features, lambda x, y: F.abs(x - y) <= 2, lambda p: cut(p, "links"))
+    assert len(ends) > 1 and ends[0] == 600 and max(ends[1:]) <= 200
+    assert {tuple(r) for r in links.collect()} >= {(i, i + 1) for i in range(400) if i % 4 < 3}
+
+
 def test_crowds_are_indexed_and_screened_in_parts(spark, monkeypatch):
     # Five crowds: pairs are those of one pass, and no written part holds more than some of the crowds or pairs.
     rnd, sets = random.Random(9), []
